@@ -1,0 +1 @@
+"""DuckDB queries that the Spark results are compared with."""

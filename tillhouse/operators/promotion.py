@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.functions import divide, lookup, percent, rounded
+from tillhouse.functions import divide, lookup, percent, ratio, rounded
 from tillhouse.plans.registry import Params, model
 
 CENTS = "decimal(18,2)"
@@ -193,7 +193,8 @@ def mart_product_price_elasticity(p: Params, history: DataFrame, sales: DataFram
     """Month-on-month elasticity of units to the units-weighted list price.
 
     The price in force on a day is found by an interval join: each price is valid until the next
-    change. Sales are summed per product and day before that join.
+    change. Sales are summed per product and day before that join. The weighted price is kept as a
+    decimal, so that an unchanged price compares equal and yields no elasticity.
     """
     changes = Window.partitionBy("product_id").orderBy("changed_date")
     # Of several changes on one day the last by (moment, id) holds.
@@ -223,7 +224,7 @@ def mart_product_price_elasticity(p: Params, history: DataFrame, sales: DataFram
             F.sum("revenue").alias("revenue"),
             F.sum(units * F.col("new_price")).alias("_priced"),
         )
-        .withColumn("effective_price", F.when(F.col("units_sold") > 0, divide("_priced", "units_sold")))
+        .withColumn("effective_price", F.when(F.col("units_sold") > 0, ratio("_priced", "units_sold", 10)))
     )
     by_month = Window.partitionBy("product_id").orderBy("sale_month")
     lagged = monthly.withColumns(
@@ -234,7 +235,8 @@ def mart_product_price_elasticity(p: Params, history: DataFrame, sales: DataFram
     )
     now, before = F.col("effective_price"), F.col("prev_price")
     moved = (before > 0) & (F.col("prev_units") > 0) & (now != before)
-    change = divide(F.col("units_sold") - F.col("prev_units"), "prev_units")
+    unit_change = divide(F.col("units_sold") - F.col("prev_units"), "prev_units")
+    price_change = divide(now - before, before)
     return lagged.select(
         "product_id",
         "sale_month",
@@ -243,5 +245,5 @@ def mart_product_price_elasticity(p: Params, history: DataFrame, sales: DataFram
         "effective_price",
         "prev_units",
         "prev_price",
-        F.when(moved, rounded(divide(change, (now - before) / before), 4)).alias("price_elasticity"),
+        F.when(moved, rounded(divide(unit_change, price_change), 4)).alias("price_elasticity"),
     )

@@ -40,6 +40,9 @@ ORDER_STATUSES = ["pending", "approved", "delivered", "delivered"]
 SHRINK_REASONS = ["damaged", "expired", "spoilage", "theft"]
 EXTRACT_STAMP = "2024-02-01 00:00:00"
 AD_EPOCH = "1995-01-02"
+# Events are one month of January 2024; they move to the last full month of sales, so that labour meets revenue.
+EVENT_SHIFT_DAYS = 8219
+CLOCK_EPOCH = "2001-07-01"
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -171,7 +174,7 @@ class OrderBookSource:
                 "event_id",
                 (F.col("user_id") % self._staff_count).alias("emp_no"),
                 event.alias("clock_type"),
-                F.date_trunc("second", F.col("ts").cast("timestamp")).alias("event_dt"),
+                _plus_seconds(F.col("ts").cast("timestamp"), F.lit(-EVENT_SHIFT_DAYS * 86400)).alias("event_dt"),
             )
         )
 
@@ -193,7 +196,7 @@ class OrderBookSource:
         days = (
             self._clock.select("emp_no", F.to_date("event_dt").alias("day"))
             .distinct()
-            .withColumn("day_no", F.datediff("day", F.lit("2024-01-01").cast("date")))
+            .withColumn("day_no", F.datediff("day", F.lit(CLOCK_EPOCH).cast("date")))
             .withColumn("seq", F.explode(F.array(F.lit(0), F.lit(1))))
         )
         phase = (emp + day_no) % 6
