@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import ensure_checkpoint_dir
+from tillhouse.session import shared_folder
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition below this bit
 
@@ -17,7 +17,7 @@ def global_row_number(frame: DataFrame, order: list[Column | str], name: str) ->
     partitions plus its place in its own. The sorted rows are checkpointed once: partition sizes and
     ranks must come from the same range boundaries, also after a lost executor.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
+    shared_folder(frame.sparkSession)
     place = F.monotonically_increasing_id()
     ordered = (
         frame.repartitionByRange(*order)

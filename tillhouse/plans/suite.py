@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse.operators import sales
+from tillhouse.plans import quality
+from tillhouse.plans.charts import CHARTS, Chart, chart_query, headline_kpis, heatmap
+from tillhouse.plans.metrics import METRICS, MEASURES, MetricLayer
 from tillhouse.plans.registry import MODELS, Params
 from tillhouse.plans.warehouse import Warehouse
-from tillhouse.session import configure
-from tillhouse.sources.order_book import OrderBookSource
+from tillhouse.session import configure, shared_folder
+from tillhouse.sources import landing
+from tillhouse.sources.export import delivery_complete, export_report
+from tillhouse.sources.order_book import CLOCK_EVENTS, OrderBookSource
+from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
+from tillhouse.streaming.polling import load_stream
 
 SALES_AS_OF = date(2001, 8, 2)
+CLOCK_AS_OF = date(2001, 7, 31)
+FRESHNESS_NOW = datetime(2024, 2, 2, 12)
+LOADED_UNTIL = datetime(2001, 1, 1)
+LOAD_NOW = datetime(2002, 1, 1)
+
 Query = Callable[[SparkSession, str], DataFrame]
+Table = Callable[[str], DataFrame]
 
 _open: dict[tuple[str, int, str], Warehouse] = {}
 
@@ -29,22 +45,375 @@ def warehouse(spark: SparkSession, directory: str) -> Warehouse:
     return _open[key]
 
 
-def comparable(frame: DataFrame) -> DataFrame:
-    """Decimals as doubles, so that any reader compares plain numbers."""
+def stored(spark: SparkSession, directory: str) -> Table:
+    """Models as tables in the session's shared folder, the way metrics, charts and checks read them."""
+    house = warehouse(spark, directory)
+    root = f"{shared_folder(spark)}/tables/{re.sub(r'[^A-Za-z0-9]+', '_', directory)}"
+    return lambda name: house.stored(spark, root, name)
+
+
+def comparable(frame: DataFrame, *as_double: str) -> DataFrame:
+    """Decimals (and the named columns) as doubles, so that any reader compares plain numbers."""
     return frame.select(
         *[
             F.col(f"`{field.name}`").cast("double").alias(field.name)
-            if isinstance(field.dataType, T.DecimalType)
+            if isinstance(field.dataType, T.DecimalType) or field.name in as_double
             else F.col(f"`{field.name}`")
             for field in frame.schema
         ]
     )
 
 
+# ---- models
+
+
 def _model_query(name: str) -> Query:
     return lambda spark, directory: comparable(warehouse(spark, directory).table(name))
 
 
+def _time_spine(spark: SparkSession, directory: str) -> DataFrame:
+    """The calendar from the first sale to two years after the last one."""
+    sold = warehouse(spark, directory).table("stg_pos_transactions")
+    bounds = sold.agg(
+        F.min("transaction_date").alias("first"), F.add_months(F.max("transaction_date"), 24).alias("last")
+    )
+    return sales.days_between(bounds)
+
+
 def model_queries() -> dict[str, Query]:
     ordered = sorted(MODELS.values(), key=lambda entry: ("SXM".index(entry.op_id[0]), entry.op_id))
-    return {entry.query_key: _model_query(entry.name) for entry in ordered}
+    found: dict[str, Query] = {entry.query_key: _model_query(entry.name) for entry in ordered}
+    found["m42_time_spine"] = _time_spine
+    return found
+
+
+# ---- metrics
+
+
+def simple_metrics_by_mart() -> dict[str, list[str]]:
+    groups: dict[str, list[str]] = {}
+    for metric in METRICS.values():
+        if metric.kind == "simple":
+            groups.setdefault(MEASURES[metric.measure].mart, []).append(metric.name)
+    return groups
+
+
+# key: metrics, group by, grain
+METRIC_SLICES: dict[str, tuple[list[str], list[str], str | None]] = {
+    **{f"k01_{mart.removeprefix('mart_')}_daily": (names, [], "day") for mart, names in simple_metrics_by_mart().items()},
+    **{f"k02_{m.name}_monthly": ([m.name], [], "month") for m in METRICS.values() if m.kind == "ratio"},
+    "k06_revenue_by_state_week": (["total_revenue", "total_transactions", "avg_transaction_value"], ["state"], "week"),
+    "k06_shrink_by_product_month": (["shrink_value", "shrink_events"], ["product"], "month"),
+    "k06_labor_by_department_quarter": (["attendance_rate", "total_labor_cost"], ["department"], "quarter"),
+    "k06_sales_and_shrink_by_location_week": (["total_revenue", "shrink_value"], ["location_name"], "week"),
+    "k06_margin_by_category_all_time": (["gross_margin_pct", "net_revenue"], ["category"], None),
+}
+SERIES_SLICES: dict[str, tuple[str, list[str]]] = {
+    **{f"k03_{m.name}": (m.name, []) for m in METRICS.values() if m.kind == "to_date"},
+    "k03_ytd_revenue_by_state": ("ytd_revenue", ["state"]),
+    **{f"k04_{m.name}": (m.name, []) for m in METRICS.values() if m.kind == "offset"},
+    "k04_revenue_wow_growth_by_state": ("revenue_wow_growth", ["state"]),
+}
+MEASURE_SLICES: dict[str, tuple[list[str], list[str], str | None]] = {
+    "k05_complete_pairs_by_day": (["complete_pairs", "attendance_summary_net_hours_worked"], [], "day"),
+    "k05_load_flags_by_status_month": (["has_departed", "has_arrived", "is_on_time"], ["status"], "month"),
+}
+
+
+def _metric_query(names: list[str], group_by: list[str], grain: str | None) -> Query:
+    return lambda spark, directory: comparable(
+        MetricLayer(stored(spark, directory)).query(names, group_by, grain), *names
+    )
+
+
+def _measure_query(names: list[str], group_by: list[str], grain: str | None) -> Query:
+    return lambda spark, directory: comparable(
+        MetricLayer(stored(spark, directory)).measures(names, group_by, grain), *names
+    )
+
+
+def metric_queries() -> dict[str, Query]:
+    return {
+        **{key: _metric_query(*spec) for key, spec in METRIC_SLICES.items()},
+        **{key: _metric_query([name], groups, "day") for key, (name, groups) in SERIES_SLICES.items()},
+        **{key: _measure_query(*spec) for key, spec in MEASURE_SLICES.items()},
+    }
+
+
+# ---- dashboards
+
+
+def chart_key(chart: Chart) -> str:
+    """Charts are filed under the dashboard feature they show most of."""
+    if chart.filters:
+        feature = "b03"
+    elif chart.grain:
+        feature = "b04"
+    elif chart.group_by and chart.limit < 10_000:
+        feature = "b05"
+    elif chart.group_by:
+        feature = "b01"
+    else:
+        feature = "b02"
+    return f"{feature}_chart{chart.number:03d}_{chart.slug}"
+
+
+def _chart_query(chart: Chart) -> Query:
+    doubles = [m.name for m in chart.metrics if not m.aggregate.startswith("COUNT")]
+    return lambda spark, directory: comparable(chart_query(stored(spark, directory), chart), *doubles)
+
+
+def _heatmap(spark: SparkSession, directory: str) -> DataFrame:
+    chart = CHARTS[79]
+    x, y = chart.group_by
+    grid = heatmap(stored(spark, directory)(chart.mart), x, y, chart.metrics[0], sales.DAY_NAMES)
+    return comparable(grid)
+
+
+def dashboard_queries() -> dict[str, Query]:
+    found: dict[str, Query] = {chart_key(chart): _chart_query(chart) for chart in CHARTS.values()}
+    found["b06_peak_hours_heatmap"] = _heatmap
+    found["b07_headline_kpis"] = lambda spark, directory: headline_kpis(stored(spark, directory))
+    return found
+
+
+# ---- quality
+
+
+def _quality(build: Callable[[Table], DataFrame]) -> Query:
+    return lambda spark, directory: comparable(build(stored(spark, directory)))
+
+
+# key: check and layer
+RULE_SETS: dict[str, tuple[str, str | None]] = {
+    "d01_unique_source": ("unique", "source"),
+    "d01_unique_staging": ("unique", "staging"),
+    "d01_unique_mart": ("unique", "mart"),
+    "d02_not_null_source": ("not_null", "source"),
+    "d02_not_null_staging": ("not_null", "staging"),
+    "d02_not_null_mart": ("not_null", "mart"),
+    "d03_relationships": ("relationships", None),
+    "d04_accepted_values_staging": ("accepted_values", "staging"),
+    "d04_accepted_values_mart": ("accepted_values", "mart"),
+    "d05_row_count_staging": ("row_count", "staging"),
+    "d05_row_count_mart": ("row_count", "mart"),
+    "d06_values_between": ("between", None),
+    "d07_column_pairs": ("pair", None),
+}
+
+
+def _rule_query(check: str, layer: str | None) -> Query:
+    return _quality(lambda t: quality.run(t, quality.select_rules(check, layer)))
+
+
+def quality_queries() -> dict[str, Query]:
+    raw_names = list(RAW_TABLES)
+    marts = [name for name, entry in MODELS.items() if entry.layer == "mart"]
+    return {
+        **{key: _rule_query(*spec) for key, spec in RULE_SETS.items()},
+        "d08_severities": _quality(
+            lambda t: quality.run(t, quality.select_rules("unique", "staging"))
+            .groupBy("severity")
+            .agg(F.count("*").alias("checks"), F.sum("failures").alias("failures"))
+        ),
+        "d09_orphans_failing": _quality(quality.orphan_report),
+        "d09_orphans_all": _quality(lambda t: quality.orphan_report(t, failing_only=False)),
+        "d10_revenue_consistency": _quality(quality.revenue_consistency),
+        "d11_count_mismatches": _quality(quality.count_mismatches),
+        "d12_line_total_balance": _quality(lambda t: quality.line_total_balance(t("stg_pos_transaction_items"))),
+        "d13_transaction_total_balance": _quality(
+            lambda t: quality.transaction_total_balance(t("stg_pos_transactions"))
+        ),
+        "d14_loyalty_balance": _quality(
+            lambda t: quality.loyalty_balance(t("stg_pos_loyalty_point_transactions"), t("stg_pos_transactions"))
+        ),
+        "d15_negative_stock": _quality(lambda t: quality.negative_stock(t("stg_inv_stock_levels"))),
+        "d16_unpaired_clock_events": _quality(
+            lambda t: quality.unpaired_clock_events(t("stg_timeclock_events"), CLOCK_AS_OF)
+        ),
+        "d17_coupon_dates": _quality(
+            lambda t: quality.promotion_dates(t("stg_pos_transaction_items"), t("stg_pos_coupons"), "coupon_id")
+        ),
+        "d17_deal_dates": _quality(
+            lambda t: quality.promotion_dates(t("stg_pos_transaction_items"), t("stg_pos_combo_deals"), "deal_id")
+        ),
+        "d18_raw_table_counts": _quality(lambda t: quality.table_counts(t, raw_names)),
+        "d18_mart_table_counts": _quality(lambda t: quality.table_counts(t, marts)),
+        "d18_empty_tables": _quality(lambda t: quality.empty_tables(t, raw_names)),
+        "d19_negative_values": _quality(quality.negative_values),
+        "d20_revenue_by_layer": _quality(quality.revenue_by_layer),
+        "d20_count_propagation": _quality(quality.count_propagation),
+    }
+
+
+# ---- ingest and export
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder per run, so that repeated runs never see each other's batches."""
+    return f"{shared_folder(spark)}/runs/{uuid4().hex}"
+
+
+def _receipts(spark: SparkSession, directory: str) -> DataFrame:
+    return landing.as_text(warehouse(spark, directory).raw("raw_pos.transactions"))
+
+
+def _loaded(frame: DataFrame, at: datetime) -> DataFrame:
+    columns = list(RAW_TABLES["raw_pos.transactions"].columns)
+    return landing.stamp(landing.conform(frame, columns), at)
+
+
+def _source_scan(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows and newest watermark of every registered table."""
+    source = warehouse(spark, directory).raw
+    parts = []
+    for entry in RAW_TABLES.values():
+        newest = F.max(F.col(entry.watermark).cast("timestamp")) if entry.watermark else F.lit(None).cast("timestamp")
+        parts.append(
+            source(entry.name)
+            .agg(F.count("*").alias("row_count"), newest.alias("newest"))
+            .select(
+                F.lit(entry.name).alias("table_name"),
+                F.lit("incremental" if entry.incremental else "full").alias("strategy"),
+                "row_count",
+                "newest",
+            )
+        )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _full_refresh(spark: SparkSession, directory: str) -> DataFrame:
+    """Two full loads of the product table; only the second one is visible."""
+    products = warehouse(spark, directory).raw("raw_pos.products")
+    entry = RAW_TABLES["raw_pos.products"]
+    store = landing.RawStore(spark, _scratch(spark))
+    store.load(entry, products.filter("is_active"), LOADED_UNTIL)
+    store.load(entry, products, LOAD_NOW)
+    return store.read(entry).select("product_id", "name", "current_price", F.col(EXTRACTED_AT).alias("extracted_at"))
+
+
+def _incremental(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts a poll would fetch after everything before 2001 is loaded."""
+    entry = RAW_TABLES["raw_pos.transactions"]
+    source = _receipts(spark, directory)
+    current = source.filter(F.col("transaction_dt").cast("timestamp") < F.lit(LOADED_UNTIL))
+    fetched = landing.incremental(source, current, entry, LOAD_NOW)
+    return fetched.select("transaction_id", F.col("transaction_dt").cast("timestamp").alias("transaction_dt"))
+
+
+def _backfill(spark: SparkSession, directory: str) -> DataFrame:
+    entry = RAW_TABLES["raw_pos.transactions"]
+    fetched = landing.incremental(
+        _receipts(spark, directory), None, entry, LOAD_NOW, datetime(1996, 3, 1), datetime(1996, 3, 31)
+    )
+    return fetched.select("transaction_id", F.col("transaction_dt").cast("timestamp").alias("transaction_dt"))
+
+
+def _upsert(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts up to mid 2001 loaded first; those of 2001 arrive again with tips added, new ones included."""
+    moment = F.col("transaction_dt").cast("timestamp")
+    source = _receipts(spark, directory)
+    entry = RAW_TABLES["raw_pos.transactions"]
+    current = _loaded(source.filter(moment < F.lit(datetime(2001, 6, 1))), LOADED_UNTIL)
+    changed = source.filter(moment >= F.lit(LOADED_UNTIL)).withColumn("payment_method", F.lit("corrected"))
+    merged = landing.upsert(current, _loaded(changed, LOAD_NOW), entry)
+    return merged.select(
+        "transaction_id",
+        "payment_method",
+        F.col("total").cast("double").alias("total"),
+        F.col(EXTRACTED_AT).alias("extracted_at"),
+    )
+
+
+def _text_form(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts with their lines nested, as the raw layer would keep them."""
+    lines = warehouse(spark, directory).raw("raw_pos.transaction_items")
+    nested = lines.select(
+        "item_id", F.struct(F.col("product_id"), F.col("category")).alias("product"), F.array("location_id").alias("places")
+    )
+    return landing.as_text(nested)
+
+
+def _schema_drift(spark: SparkSession, directory: str) -> DataFrame:
+    """Members delivered without a tier and with an unknown extra column."""
+    members = landing.as_text(warehouse(spark, directory).raw("raw_pos.loyalty_members"))
+    drifted = members.drop("tier").withColumn("favourite_colour", F.lit("green"))
+    return landing.conform(drifted, list(RAW_TABLES["raw_pos.loyalty_members"].columns)).drop(
+        EXTRACTED_AT, "_sdc_batched_at"
+    )
+
+
+def _event_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """The events file streamed into the raw clock table and read back merged."""
+    configure(spark)
+    entry = RAW_TABLES["raw_timeclock.events"]
+    scratch = _scratch(spark)
+    schema = spark.read.parquet(f"{directory}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(directory)
+    kind = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in CLOCK_EVENTS.items()])
+    stream = events.filter(F.col("event_type").isin(*CLOCK_EVENTS)).select(
+        F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("event_id"),
+        F.concat(F.lit("E"), F.col("user_id").cast("string")).alias("employee_id"),
+        kind.alias("event_type"),
+        F.col("ts").cast("timestamp").alias("event_dt"),
+        F.col("props").alias("notes"),
+    )
+    store = landing.RawStore(spark, f"{scratch}/raw")
+    load_stream(stream, store, entry, f"{scratch}/progress").awaitTermination()
+    return store.read(entry).select(
+        "event_id", "employee_id", "event_type", F.col("event_dt").cast("timestamp").alias("event_dt"), "notes"
+    )
+
+
+def _export(spark: SparkSession, directory: str) -> DataFrame:
+    """Headline marts exported to CSV; rows counted from the written files."""
+    root = _scratch(spark)
+    files = export_report(spark, stored(spark, directory), root, SALES_AS_OF, LOAD_NOW)
+    parts = [
+        spark.read.option("header", True).csv(f"{root}/{entry['key']}")
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(entry["key"].rsplit("/", 1)[1]).alias("file"), "row_count")
+        for entry in files
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _delivery(spark: SparkSession, directory: str) -> DataFrame:
+    root = _scratch(spark)
+    export_report(spark, stored(spark, directory), root, SALES_AS_OF, LOAD_NOW)
+    return delivery_complete(spark, root, SALES_AS_OF)
+
+
+def ingest_queries() -> dict[str, Query]:
+    return {
+        "i01_source_scan": _source_scan,
+        "i02_full_refresh": _full_refresh,
+        "i03_incremental_window": _incremental,
+        "i03_backfill_window": _backfill,
+        "i04_upsert": _upsert,
+        "i05_text_form": _text_form,
+        "i06_schema_drift": _schema_drift,
+        "i07_event_stream": _event_stream,
+        "i08_materialised_mart": lambda spark, directory: comparable(stored(spark, directory)("mart_daily_revenue")),
+        "i09_csv_export": _export,
+        "i10_delivery_check": _delivery,
+        "i11_source_freshness": lambda spark, directory: quality.freshness(
+            warehouse(spark, directory).raw, FRESHNESS_NOW
+        ),
+    }
+
+
+def all_queries() -> dict[str, Query]:
+    return {
+        **model_queries(),
+        **metric_queries(),
+        **dashboard_queries(),
+        **quality_queries(),
+        **ingest_queries(),
+    }

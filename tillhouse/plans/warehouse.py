@@ -19,6 +19,7 @@ class Warehouse:
         self.raw = raw
         self.params = params
         self._frames: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """The model as one lazy plan down to its raw tables, or as already materialised."""
@@ -30,6 +31,19 @@ class Warehouse:
                 self._frames[name] = entry.build(self.params, *map(self.table, entry.inputs))
         return self._frames[name]
 
+    def stored(self, spark: SparkSession, root: str, name: str) -> DataFrame:
+        """The model read from its table, which is written on first use together with shared inputs."""
+        if name.startswith("raw_"):
+            return self.table(name)
+        if name not in self._stored:
+            entry = MODELS[name]
+            shared = shared_models()
+            inputs = [self.stored(spark, root, i) if i in shared else self.table(i) for i in entry.inputs]
+            path = f"{root}/{entry.layer}/{entry.name}"
+            entry.build(self.params, *inputs).write.mode("overwrite").parquet(path)
+            self._stored[name] = spark.read.parquet(path)
+        return self._stored[name]
+
     def materialise(self, spark: SparkSession, root: str, names: Iterable[str] | None = None) -> dict[str, str]:
         """Replace each model's table under `root`, inputs first, and read later models from those tables."""
         written = {}
@@ -41,6 +55,15 @@ class Warehouse:
         return written
 
 
+def shared_models() -> set[str]:
+    """Enriched facts and marts with several readers; computing them once pays for writing them."""
+    readers: dict[str, int] = {}
+    for entry in MODELS.values():
+        for name in entry.inputs:
+            readers[name] = readers.get(name, 0) + 1
+    return {name for name, count in readers.items() if count > 1 and name in MODELS and MODELS[name].layer != "staging"}
+
+
 def build_order(names: Iterable[str] | None = None) -> list[Model]:
     """The requested models (all by default) and what they need, inputs before readers."""
     ordered: dict[str, Model] = {}

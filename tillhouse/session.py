@@ -37,11 +37,14 @@ def local_session(cores: str | int = "*", app: str = "tillhouse", **extra: str)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back only when none is set."""
+def shared_folder(spark: SparkSession) -> str:
+    """This session's folder for checkpoints and written tables, reachable from every executor.
+
+    Uses the folder the cluster names; falls back only when none is set and the session is local.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
-        return
+        return context.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         context.setCheckpointDir(named)
@@ -49,3 +52,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix=f"tillhouse-ckpt-{os.getpid()}-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return context.getCheckpointDir()
