@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracles.base import STAMP
 from oracles.sql import dbl, f8, money, quo
 from tillhouse.plans import suite
-from tillhouse.plans.charts import CHARTS, HEADLINES, Chart
+from tillhouse.plans.charts import BORROWED, CHARTS, HEADLINES, Chart
 from tillhouse.plans.metrics import MARTS, MEASURES, METRICS, Measure
 from tillhouse.plans.quality import ORPHAN_KEYS, PROPAGATED, Rule, select_rules
 from tillhouse.plans.registry import MODELS
@@ -150,7 +150,12 @@ def chart_sql(chart: Chart) -> str:
             "is not null": f"{f.column} IS NOT NULL",
         }[f.op]
         where = f" WHERE {test}"
-    text = f"SELECT {', '.join(columns + shown)} FROM t_{chart.mart}{where}"
+    source = f"t_{chart.mart}"
+    for column in chart.group_by:
+        if (chart.mart, column) in BORROWED:
+            sibling, key = BORROWED[chart.mart, column]
+            source += f" LEFT JOIN (SELECT {key}, {column} FROM t_{sibling}) USING ({key})"
+    text = f"SELECT {', '.join(columns + shown)} FROM {source}{where}"
     if not keys:
         return text
     numbers = [str(i + 1) for i in range(len(keys))]
