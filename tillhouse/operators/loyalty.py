@@ -70,7 +70,10 @@ def _snapshot_date(events: DataFrame):
 
 @model("M-26", "stg_pos_loyalty_members", "int_loyalty_enriched")
 def mart_loyalty_engagement(p: Params, members: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per tier and an 'ALL' row, both from a single rollup over members."""
+    """One row per tier and an 'ALL' row, both from a single rollup over members.
+
+    A seed row that counts for nothing keeps the 'ALL' row in a programme without members.
+    """
     activity = events.groupBy(F.col("member_id").alias("_member")).agg(
         F.max("activity_date").alias("last_activity_date"),
         F.sum("points_earned").alias("earned"),
@@ -79,13 +82,15 @@ def mart_loyalty_engagement(p: Params, members: DataFrame, events: DataFrame) ->
     )
     balance = F.col("points_balance")
     recent = F.col("last_activity_date") >= F.date_sub(_snapshot_date(events), p.active_days)
+    seed = members.sparkSession.range(1).select(F.lit(0).alias("member"))
     rolled = (
-        members.select("member_id", "tier", "points_balance")
+        members.select(F.lit(1).alias("member"), "member_id", "tier", "points_balance")
+        .unionByName(seed, allowMissingColumns=True)
         .join(activity, F.col("member_id") == F.col("_member"), "left")
         .rollup("tier")
         .agg(
             F.grouping_id().alias("level"),
-            F.count("*").alias("members"),
+            F.sum("member").alias("members"),
             F.count_if(recent).alias("active"),
             F.sum("earned").alias("earned"),
             F.sum("redeemed").alias("redeemed"),
@@ -93,6 +98,7 @@ def mart_loyalty_engagement(p: Params, members: DataFrame, events: DataFrame) ->
             F.sum("points_balance").alias("balance"),
             F.sum(F.when(balance > 0, balance)).alias("liability"),
         )
+        .filter("level = 1 OR members > 0")
     )
     whole = F.col("level") == 1
     redeemed = F.coalesce("redeemed", F.lit(0))
