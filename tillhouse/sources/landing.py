@@ -76,8 +76,8 @@ def window_start(current: DataFrame | None, table: RawTable, now: datetime) -> C
     fallback = F.lit(now - timedelta(days=FALLBACK_DAYS)).cast("timestamp")
     if current is None:
         return fallback
-    newest = current.agg(F.max(F.col(table.watermark).cast("timestamp"))).scalar()
-    return F.coalesce(newest, fallback)
+    latest = current.agg(F.max(F.col(table.watermark).cast("timestamp"))).scalar()
+    return F.coalesce(latest, fallback)
 
 
 def incremental(
@@ -104,8 +104,8 @@ def last_write_wins(frame: DataFrame, key: str, *newest_first: Column) -> DataFr
 def upsert(current: DataFrame, incoming: DataFrame, table: RawTable) -> DataFrame:
     """Current rows replaced or extended by incoming ones; all non-key columns are replaced.
 
-    The order is load time, then incoming before current, then the row's own text, so that several
-    versions of a key in one load give the same winner on every run.
+    The order is load time, incoming before current, watermark, then the row's own text, so that
+    several versions of a key in one load give the same winner on every run.
     """
     if table.key not in current.columns:
         current = current.limit(0).select(*[F.lit(None).cast("string").alias(c) for c in incoming.columns])
@@ -115,9 +115,12 @@ def upsert(current: DataFrame, incoming: DataFrame, table: RawTable) -> DataFram
         .unionByName(current.withColumn("_arrival", F.lit(0)), allowMissingColumns=True)
     )
     content = F.to_json(F.struct(*columns))
-    return last_write_wins(
-        both, table.key, F.desc(EXTRACTED_AT), F.desc("_arrival"), content.desc()
-    ).drop("_arrival")
+    order = [F.desc(EXTRACTED_AT), F.desc("_arrival"), *newest(table, columns), content.desc()]
+    return last_write_wins(both, table.key, *order).select(*columns)
+
+
+def newest(table: RawTable, columns: list[str]) -> list[Column]:
+    return [F.col(table.watermark).cast("timestamp").desc()] if table.watermark in columns else []
 
 
 def conform_like(frame: DataFrame, columns: list[str]) -> DataFrame:
@@ -165,8 +168,9 @@ class RawStore:
         frame = self.spark.read.parquet(f"{self.path(table)}/{BATCH}={batch_id}")
         return frame.withColumn(BATCH, F.lit(batch_id))
 
-    def read(self, table: RawTable) -> DataFrame | None:
-        ids = self.batches(table)
+    def read(self, table: RawTable, before: str | None = None) -> DataFrame | None:
+        """The table's current rows, or those of batches older than `before`."""
+        ids = [i for i in self.batches(table) if before is None or i < before]
         if not ids:
             return None
         if not table.incremental:
@@ -178,7 +182,8 @@ class RawStore:
         # The first batch decides the columns; later ones may lack some or bring more.
         merged = merged.select(*parts[0].columns)
         content = F.to_json(F.struct(*[c for c in merged.columns if c != BATCH]))
-        return last_write_wins(merged, table.key, F.desc(EXTRACTED_AT), F.desc(BATCH), content.desc()).drop(BATCH)
+        order = [F.desc(EXTRACTED_AT), F.desc(BATCH), *newest(table, merged.columns), content.desc()]
+        return last_write_wins(merged, table.key, *order).drop(BATCH)
 
     def load(
         self,
@@ -188,12 +193,15 @@ class RawStore:
         start: datetime | None = None,
         end: datetime | None = None,
     ) -> None:
-        """One load of one table, full or incremental as registered."""
+        """One load of one table, full or incremental as registered.
+
+        The window starts from older batches only, so running a load again fetches the same rows.
+        """
+        batch_id = now.strftime("%Y%m%dT%H%M%S")
         rows = extract
         if table.incremental:
-            rows = incremental(extract, self.read(table), table, now, start, end)
-        stamped = stamp(conform(as_text(rows), list(table.columns)), now)
-        self.write_batch(table, stamped, now.strftime("%Y%m%dT%H%M%S"))
+            rows = incremental(extract, self.read(table, before=batch_id), table, now, start, end)
+        self.write_batch(table, stamp(conform(as_text(rows), list(table.columns)), now), batch_id)
 
     def compact(self, table: RawTable, batch_id: str) -> None:
         """Write the merged state as one batch; older batches may be removed once it is complete."""
