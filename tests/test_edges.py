@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillhouse.functions import divide, percent, shift_hours
-from tillhouse.operators.ranking import global_ntile, global_row_number
+from tillhouse.operators.ranking import global_ntile, global_row_number, previous_in_group
 from tillhouse.plans.charts import ChartMetric, Filter, heatmap, kpi_query
 from tillhouse.plans.metrics import MetricLayer
 from tillhouse.plans.quality import promotion_dates
@@ -299,6 +299,15 @@ def test_global_row_number_is_dense(spark):
     assert numbered.filter("n <> v + 1").count() == 0
 
 
+def test_previous_in_group_with_a_hot_group(spark):
+    """A third of the rows on one key, a null key, and ordinary keys."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 != 1, (F.col("id") % 40).cast("string"))
+    data = spark.range(900).select(key.alias("g"), (F.col("id") * 7919 % 900).alias("o"), "id")
+    plain = data.withColumn("p", F.lag("id").over(Window.partitionBy("g").orderBy("o")))
+    found = previous_in_group(data, ["g"], ["o"], "id", "p")
+    assert found.exceptAll(plain).count() == 0 and found.count() == 900
+
+
 def series(frame, *rows):
     daily = frame("transaction_date date, location_id string, state string, total_revenue long", *rows)
     return MetricLayer({"mart_daily_revenue": daily}.__getitem__)

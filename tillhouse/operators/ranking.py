@@ -54,3 +54,21 @@ def global_ntile(frame: DataFrame, tiles: int, order: list[Column | str], name:
         extra + F.floor((row - long_rows) / F.greatest(base, F.lit(1)))
     )
     return ranked.withColumn(name, (tile + 1).cast("int")).drop("_row")
+
+
+def previous_in_group(frame: DataFrame, group: list[str], order: list[str], column: str, name: str) -> DataFrame:
+    """`lag(column)` within each group, for groups too large for one task.
+
+    Rows are numbered in (group, order) and joined with the row before, so a group may span any
+    number of partitions. `order` has to be total within a group.
+    """
+    numbered = global_row_number(frame, [*group, *order], "_row")
+    before = numbered.select(
+        (F.col("_row") + 1).alias("_next"),
+        *[F.col(g).alias(f"_before_{g}") for g in group],
+        F.col(column).alias(name),
+    )
+    follows = F.col("_row") == F.col("_next")
+    for g in group:
+        follows = follows & F.col(g).eqNullSafe(F.col(f"_before_{g}"))
+    return numbered.join(before, follows, "left").drop("_row", "_next", *[f"_before_{g}" for g in group])

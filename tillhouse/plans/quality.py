@@ -11,9 +11,10 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.operators.ranking import previous_in_group
 from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
 
 WARN, ERROR = "warn", "error"
@@ -440,14 +441,20 @@ def transaction_total_balance(transactions: DataFrame) -> DataFrame:
 
 
 def loyalty_balance(points: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Point events whose balance does not follow from the member's previous one."""
+    """Point events whose balance does not follow from the member's previous one.
+
+    A shared card may hold a large part of all events, so the previous event is found by rank.
+    """
     receipts = transactions.select(F.col("transaction_id").alias("_txn"), "transaction_dt")
-    history = Window.partitionBy("member_id").orderBy("transaction_dt", "points_balance_after")
+    dated = points.join(receipts, F.col("transaction_id") == F.col("_txn")).select(
+        "pt_id", "member_id", "transaction_dt", "points_earned", "points_redeemed", "points_balance_after"
+    )
+    chained = previous_in_group(
+        dated, ["member_id"], ["transaction_dt", "points_balance_after", "pt_id"], "points_balance_after", "prev_balance"
+    )
     expected = F.col("prev_balance") + F.col("points_earned") - F.col("points_redeemed")
     return (
-        points.join(receipts, F.col("transaction_id") == F.col("_txn"))
-        .withColumn("prev_balance", F.lag("points_balance_after").over(history))
-        .select(
+        chained.select(
             "pt_id",
             "member_id",
             "transaction_dt",
