@@ -34,13 +34,13 @@ def later(ts: str, seconds: str) -> str:
 BASE: dict[str, str] = {}
 
 BASE["b_lines"] = f"""
-SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, rn, quantity, unit_price,
+SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linenumber AS ln, quantity, unit_price,
        {money("CAST(unit_price AS DOUBLE) * l_discount")} AS discount,
        {money("l_extendedprice * CAST(0.6 AS DOUBLE) / l_quantity")} AS unit_cost,
-       l_orderkey || '-' || rn AS line_id
+       l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || rn AS line_id
 FROM (
   SELECT *, CAST(l_quantity AS DECIMAL(18,4)) AS quantity, {money("l_extendedprice / l_quantity")} AS unit_price,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey ORDER BY l_quantity,
            l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
   FROM lineitem)
 """
@@ -211,7 +211,7 @@ SELECT *, coalesce(quantity_approved, quantity_requested) AS quantity_effective
 FROM (
   SELECT 'OI' || line_id AS item_id, 'O' || l_orderkey AS order_id, 'P' || l_partkey AS product_id,
          CAST(quantity AS INTEGER) AS quantity_requested,
-         CASE WHEN (l_orderkey // 4 + rn) % 9 <> 0 THEN CAST(quantity AS INTEGER) - CASE WHEN rn % 3 = 0 THEN 1 ELSE 0 END END AS quantity_approved
+         CASE WHEN (l_orderkey // 4 + ln) % 9 <> 0 THEN CAST(quantity AS INTEGER) - CASE WHEN ln % 3 = 0 THEN 1 ELSE 0 END END AS quantity_approved
   FROM b_lines WHERE l_orderkey % 4 = 0)
 """
 
@@ -238,8 +238,8 @@ SELECT *, {pct("quantity_picked", "quantity_requested", 1)} AS fill_rate_pct
 FROM (
   SELECT 'FI' || line_id AS item_id, 'F' || l_orderkey || 'a' AS fulfillment_id, 'P' || l_partkey AS product_id,
          CAST(quantity AS INTEGER) AS quantity_requested,
-         CAST(quantity AS INTEGER) - CASE WHEN (l_orderkey // 4 + rn) % 10 = 0 THEN 1 ELSE 0 END AS quantity_picked,
-         CASE WHEN (l_orderkey // 4 + rn) % 10 = 0 THEN 'short' ELSE 'picked' END AS pick_status
+         CAST(quantity AS INTEGER) - CASE WHEN (l_orderkey // 4 + ln) % 10 = 0 THEN 1 ELSE 0 END AS quantity_picked,
+         CASE WHEN (l_orderkey // 4 + ln) % 10 = 0 THEN 'short' ELSE 'picked' END AS pick_status
   FROM b_lines WHERE l_orderkey % 4 = 0 AND (l_orderkey // 4) % 6 <> 0)
 """
 
@@ -296,7 +296,7 @@ FROM (
 """
 
 BASE["b_dated_lines"] = """
-SELECT b_lines.*, CAST(o_orderdate AS DATE) AS sale_day, (l_partkey * 3 + (rn % 3) * 8) % 25 AS site
+SELECT b_lines.*, CAST(o_orderdate AS DATE) AS sale_day, (l_partkey * 3 + (ln % 3) * 8) % 25 AS site
 FROM b_lines JOIN orders ON o_orderkey = l_orderkey
 """
 
@@ -321,10 +321,10 @@ FROM b_receipt_lines
 BASE["b_shrink"] = f"""
 SELECT 'SH' || line_id AS event_id, 'P' || l_partkey AS product_id,
        'L' || CASE WHEN site % 5 = 0 THEN site + 1 ELSE site END AS location_id, sale_day AS event_date,
-       CAST(sale_day AS TIMESTAMP) + INTERVAL 20 HOUR AS recorded_at, {pick(SHRINK_REASONS, "(l_orderkey + rn) // 5")} AS shrinkage_type,
+       CAST(sale_day AS TIMESTAMP) + INTERVAL 20 HOUR AS recorded_at, {pick(SHRINK_REASONS, "(l_orderkey + ln) // 5")} AS shrinkage_type,
        CAST(1 + CAST(quantity AS INTEGER) % 5 AS DECIMAL(18,4)) AS quantity_lost,
        CAST((1 + CAST(quantity AS INTEGER) % 5) * unit_cost AS DECIMAL(18,4)) AS estimated_value_lost
-FROM b_dated_lines WHERE l_returnflag = 'R' AND (l_orderkey + rn) % 5 = 0
+FROM b_dated_lines WHERE l_returnflag = 'R' AND (l_orderkey + ln) % 5 = 0
 """
 
 BASE["b_ads"] = """
