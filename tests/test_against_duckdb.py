@@ -11,11 +11,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from oracles import suite as checks
+from tillhouse.plans import suite
 
 from .conftest import DATA
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = suite.all_queries()
+SQL = checks.all_sql()
 
 
 @pytest.fixture(scope="module")
