@@ -57,6 +57,22 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id)
 """
 
+OP8 = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_W}') AS words FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS words_13
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)),
+f AS (SELECT words_13, min(doc_id) AS first_doc FROM g GROUP BY words_13),
+gone AS (
+  SELECT doc_id, list(DISTINCT place) AS places
+  FROM (SELECT doc_id, unnest(range(i, i + 13)) AS place FROM g JOIN f USING (words_13) WHERE first_doc < doc_id) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN words
+         ELSE [words[p] for p in range(1, len(words) + 1) if NOT list_contains(places, p)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+"""
+
 OP9 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_W}')) AS size FROM documents),
@@ -89,5 +105,6 @@ def all_sql() -> dict[str, str]:
         "op1_url_filters": OP1,
         "op5_chat_formatting": OP5,
         "op7_exact_dedup": OP7,
+        "op8_substring_dedup": OP8,
         "op9_source_mixing": OP9,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import chat_format, exact_dedup, mixing, quality_rules, url_filters
+from tillhouse.llm import chat_format, exact_dedup, mixing, near_dedup, quality_rules, substring_dedup, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(captures, url_filters.list_events(pages))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs, _table(spark, sf_dir, "labels")).select("doc_id", "quality.*")
@@ -34,6 +38,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).documents.select("doc_id", "size", "source_size", "target", "taken")
@@ -42,9 +50,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_url_filters,
+        op3_minhash_near_dedup,
         op4_quality_rules,
         op5_chat_formatting,
         op7_exact_dedup,
+        op8_substring_dedup,
         op9_source_mixing,
     ]
     return {f.__name__: f for f in listed}
