@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import chat_format, exact_dedup, mixing, near_dedup, quality_rules, substring_dedup, url_filters
+from tillhouse.llm import chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(captures, url_filters.list_events(pages))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_url_filters,
+        op2_line_dedup,
         op3_minhash_near_dedup,
         op4_quality_rules,
         op5_chat_formatting,
