@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, url_filters
+from tillhouse.llm import chat_format, exact_dedup, line_dedup, mixing, near_dedup, piece_sampling, quality_rules, substring_dedup, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.digests(_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_url_filters,
@@ -61,5 +65,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_exact_dedup,
         op8_substring_dedup,
         op9_source_mixing,
+        op10_sentencepiece_sampling,
     ]
     return {f.__name__: f for f in listed}
