@@ -23,7 +23,7 @@ from tillhouse.llm.columns import let, words
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
-THRESHOLD = -0.3
+THRESHOLD = -0.05
 MAX_TRUSTED = 100_000
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
