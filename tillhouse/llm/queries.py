@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import chat_format, exact_dedup, line_dedup, mixing, near_dedup, piece_sampling, quality_rules, substring_dedup, url_filters
+import corpus_pipeline
+from tillhouse.llm import (
+    chat_format,
+    exact_dedup,
+    html_extraction,
+    line_dedup,
+    mixing,
+    near_dedup,
+    piece_sampling,
+    quality_rules,
+    substring_dedup,
+    url_filters,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +50,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chats(chats.unionByName(chat_format.probe_rows(spark))))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -62,9 +78,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_minhash_near_dedup,
         op4_quality_rules,
         op5_chat_formatting,
+        op6_html_extraction,
         op7_exact_dedup,
         op8_substring_dedup,
         op9_source_mixing,
         op10_sentencepiece_sampling,
     ]
-    return {f.__name__: f for f in listed}
+    return {f.__name__: f for f in listed} | {"pipeline": corpus_pipeline.run}
