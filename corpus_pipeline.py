@@ -31,7 +31,7 @@ def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_rules.judge(docs, labels).filter("quality.kept").select(*docs.columns)
+    return quality_rules.judge(docs, labels).filter("quality.kept").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -179,12 +179,14 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
     `n_chars` is set for cut texts. A document's id has to be unique, as in `documents`.
     """
-    counts = mix(docs, block_words).documents.filter("taken > 0").select(F.col("doc_id").alias("_id"), F.col("taken").alias("_taken"), F.col("size").alias("_size"))
-    rows = docs.join(counts, F.col("doc_id").eqNullSafe(F.col("_id")))
-    rows = rows.withColumn("_round", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
-    left = F.col("_taken") - (F.col("_round") - 1) * F.col("_size")
-    cut = F.concat_ws(" ", F.slice(words(F.col("text")), F.lit(1), left.cast("int")))
-    rows = rows.withColumn("text", F.when(left < F.col("_size"), cut).otherwise(F.col("text")))
+    counts = mix(docs, block_words).documents.filter("taken > 0").select("doc_id", "taken", "size")
+    # The input's own columns stay in one struct, whatever their names.
+    rows = docs.select(F.struct("*").alias("row")).join(counts, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
+    rows = rows.withColumn("round", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
+    left = F.col("taken") - (F.col("round") - 1) * F.col("size")
+    text = F.when(left < F.col("size"), F.concat_ws(" ", F.slice(words(F.col("row.text")), F.lit(1), left.cast("int")))).otherwise(F.col("row.text"))
+    rows = rows.select("row", text.alias("text"), (left < F.col("size")).alias("cut"))
+    new = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(left < F.col("_size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        new = new.withField("n_chars", F.when(F.col("cut"), F.length("text").cast("long")).otherwise(F.col("row.n_chars")))
+    return rows.select(new.alias("row")).select("row.*")

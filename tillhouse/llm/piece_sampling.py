@@ -45,6 +45,8 @@ SAMPLES = 3
 TEMPERATURE = 1.0
 KEPT_WORDS = 200_000
 BATCH_BYTES = 1_000_000
+#: Log-probabilities are added in 2^-40.
+UNITS = 2.0**40
 SPACE = "▁"
 _WORD = re.compile(r" *[^ \n]+| +|\n")
 
@@ -199,9 +201,12 @@ class Lattices:
         peaks = peaks[np.searchsorted(peaks, heads)]
         for x in (node, piece, share):
             x[heads], x[peaks] = x[peaks], x[heads]
-        upto = np.cumsum(np.exp(share))
-        upto -= np.concatenate([[0.0], upto])[first[end]]
-        upto[first[end + 1] - 1] = 1.0
+        upto, sizes_in, so_far = np.empty(len(share)), np.diff(np.append(heads, len(end))), np.zeros(len(heads))
+        for i in range(int(sizes_in.max(initial=0))):
+            more = np.flatnonzero(sizes_in > i)
+            so_far[more] += np.exp(share[heads[more] + i])
+            upto[heads[more] + i] = so_far[more]
+        upto[heads + sizes_in - 1] = 1.0
         self.first = np.concatenate([self.first, first[:-1] + len(self.start)])
         self.upto = np.concatenate([self.upto, upto])
         self.end = np.concatenate([self.end, end + self.nodes])
@@ -320,12 +325,11 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int)
         paths.append(path)
         own = np.repeat(np.arange(n), np.diff(path.of))
         share = lattices.share[path.edge]
-        upto = np.cumsum(share)
-        ahead = upto - share
-        ahead -= np.repeat(ahead[np.minimum(path.of[:-1], len(ahead) - 1)] if len(ahead) else np.zeros(n), np.diff(path.of))
-        log_prob = np.add.reduceat(np.append(share, 0.0), path.of[:-1]) if n else np.zeros(0)
-        log_prob = np.where(np.diff(path.of) > 0, log_prob, 0.0)
-        results.append((rows, value[rows] if sample == 0 else value[rows], log_prob[rows], path))
+        # Sums in whole units, so that they don't depend on the rows before in the batch.
+        upto = np.concatenate([[0], np.cumsum(np.round(share * UNITS).astype(np.int64))])
+        ahead = (upto[:-1] - np.repeat(upto[path.of[:-1]], np.diff(path.of))) / UNITS
+        log_prob = (upto[path.of[1:]] - upto[path.of[:-1]]) / UNITS
+        results.append((rows, value[rows], log_prob[rows], path))
         # Siblings at every node after the fork, and what is left of the group at the fork.
         at = np.arange(len(path.edge)) - path.of[own]
         after = at > fork[own] if sample else np.ones(len(at), bool)

@@ -83,7 +83,7 @@ def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
 def bucket_weights(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
     """One row with `weights`: log p_trusted - log p_raw of each bucket."""
     ids = trusted_ids(labels, limit)
-    marked = docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("_trusted"), "left")
+    marked = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("_trusted"), "left")
     grams = marked.select(F.col("_trusted").isNotNull().alias("good"), F.explode(let(_word_hashes(F.col("text")), _buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count(F.when(F.col("good"), 1)).alias("good"))
     all_buckets = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
@@ -101,9 +101,10 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = MAX_TRUSTED) -> DataFrame:
-    """`docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept in a struct `quality`."""
+    """One row per document: `row`, a struct of its columns, and `quality`, a struct of n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, base_failed, score and kept."""
     weights = bucket_weights(docs, labels, limit).scalar()
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce("row.text", F.lit(""))
 
     def measured(hashes: Column) -> Column:
         score = let(
@@ -115,17 +116,17 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limi
     inside = F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long")
     symbols = (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
     # The generator makes the measures columns of their own, which later steps read instead of computing them again.
-    rows = docs.withColumn("_weights", weights)
-    rows = rows.select(*docs.columns, F.inline(F.array(let(_word_hashes(F.col("text")), measured))).alias("_n", "_repeat", "_score"))
+    rows = docs.select(F.struct("*").alias("row"), weights.alias("_weights"))
+    rows = rows.select("row", F.inline(F.array(let(_word_hashes(F.col("row.text")), measured))).alias("_n", "_repeat", "_score"))
     failed = (F.col("_n") < MIN_WORDS) | (100 * F.col("_repeat") > MAX_REPEAT_PCT * F.col("_n"))
     quality = F.struct(
         F.col("_n").alias("n_words"),
         inside.alias("word_chars"),
         symbols.alias("n_symbols"),
-        _duplicate_lines(F.col("text")).cast("long").alias("n_dup_lines"),
+        _duplicate_lines(F.col("row.text")).cast("long").alias("n_dup_lines"),
         F.col("_repeat").alias("n_repeat_words"),
         failed.alias("base_failed"),
         F.col("_score").alias("score"),
         (~failed & (F.col("_score") >= threshold)).alias("kept"),
     )
-    return rows.select(*docs.columns, quality.alias("quality"))
+    return rows.select("row", quality.alias("quality"))

@@ -42,7 +42,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.judge(docs, _table(spark, sf_dir, "labels")).select("doc_id", "quality.*")
+    return quality_rules.judge(docs, _table(spark, sf_dir, "labels")).select("row.doc_id", "quality.*")
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,7 @@ def intervals(events: DataFrame) -> DataFrame:
 
 
 def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
-    """`captures` (with url, fetched_on) with blocked, entry, category, listed_on added."""
+    """`captures` (with url, fetched_on) with blocked, entry, category, listed_on, in place of columns so named."""
     keys = captures.filter("url IS NOT NULL AND fetched_on IS NOT NULL").select(F.col("url").alias("_url"), F.col("fetched_on").cast("date").alias("_on")).distinct()
     tried = keys.withColumn("_entry", F.explode(candidates(F.col("_url"))))
     active = (
@@ -76,9 +76,11 @@ def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
         .groupBy("_url", "_on")
         .agg(F.min(F.struct((-F.length("_entry")).alias("n"), "_entry", "hit")).alias("hit"))
     )
-    same = (F.col("url") == F.col("_url")) & (F.col("fetched_on").cast("date") == F.col("_on"))
-    return captures.join(best, same, "left").select(
-        *[captures[c] for c in captures.columns],
+    # The captures' own columns stay in one struct, whatever their names.
+    rows = captures.select(F.struct("*").alias("row"))
+    same = (F.col("row.url") == F.col("_url")) & (F.col("row.fetched_on").cast("date") == F.col("_on"))
+    return rows.join(best, same, "left").select(
+        *[F.col("row")[c].alias(c) for c in captures.columns if c not in ("blocked", "entry", "category", "listed_on")],
         F.col("hit").isNotNull().alias("blocked"),
         F.col("hit._entry").alias("entry"),
         F.col("hit.hit.category").alias("category"),
