@@ -7,8 +7,9 @@ their weighted Jaccard similarity; `BANDS` bands of `ROWS` draws make the bucket
 threshold 0.8 shares no band with a probability of 0.2 %. Candidates are verified by their exact weighted Jaccard
 similarity, and links of at least `SIMILARITY` make classes.
 
-Texts with the same words in the same order are one text here, represented by the smallest id: copies never meet. In a
-bucket every text is compared with one pivot, not with every other; texts that the pivot does not link and that are in
+Texts with the same words in the same order are one text here, represented by the smallest id: copies never meet. A text
+of which less than the threshold's share, by weight, lies in shingles that other documents hold too is similar to none
+and is not sampled. In a bucket every text is compared with one pivot, not with every other; texts that the pivot does not link and that are in
 another class so far are compared with a second pivot, and what is then still apart, pair by pair across classes. So no
 candidate pair that could join two classes is left out, while a bucket of n alike texts costs n comparisons.
 
@@ -19,6 +20,8 @@ other than doc_id and text are not read. No rows give no rows.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,42 +101,70 @@ class Sampler:
         return out
 
 
-def _sign(n_docs: int, width: int, bands: int, rows: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64())), ("codes", pa.binary())])
+def _counted_keys(keys: np.ndarray) -> np.ndarray:
+    """Document frequencies are those of 56-bit hashes, which pack a byte shorter."""
+    return keys & ~np.uint64(0xFF)
+
+
+_SIGNED = "doc_id long, s1 long, s2 long, bands array<long>, codes binary, words binary"
+
+
+def _sign(n_docs: int, width: int, similarity: float, bands: int, rows: int):
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary())]
+    )
 
     def sign(block: pa.Table, told: pa.Table) -> pa.Table:
         if not block.num_rows:
             return schema.empty_table()
+        # The smallest id of equal texts comes first and signs for them.
+        block = block.sort_by("doc_id")
         words, hashes, keys, counts = all_shingles(block["text"], width)
-        block_keys = np.unique(np.concatenate(keys))
-        codes = key_counts.codes_in_order(told)
-        sampler = Sampler(bands * rows)
-        combine = constants(rows, 5)
-        sizes = np.array([len(k) for k in keys])
-        own = [codes[np.searchsorted(block_keys, k)] for k in keys]
-        out: list = [None] * len(keys)
-        todo = np.flatnonzero(sizes)
-        ends = np.cumsum(sizes[todo])
-        while len(todo):
-            n = max(1, int(np.searchsorted(ends, SPAN, side="right")))
-            now, todo = todo[:n], todo[n:]
-            ends = ends[n:] - ends[n - 1]
-            starts = np.concatenate([[0], np.cumsum(sizes[now])[:-1]])
-            weights = np.concatenate([counts[i] * idf(own[i], n_docs) for i in now])
-            draws = sampler.sample(np.concatenate([keys[i] for i in now]), weights, starts).reshape(len(now), bands, rows)
-            signed = mix((draws * combine).sum(axis=2, dtype=np.uint64)).view(np.int64)
-            for i, row in zip(now.tolist(), signed):
-                out[i] = row
-        total = np.zeros((2, len(words.of)), np.uint64)
         # Two hashes of the whole word sequence tell texts apart.
-        for j, seed in enumerate((11, 13)):
-            total[j, :-1] = [_sequence(hashes[a:b], seed) for a, b in zip(words.of[:-1], words.of[1:])]
+        of = list(zip(words.of[:-1].tolist(), words.of[1:].tolist()))
+        names = np.array([[_sequence(hashes[a:b], seed) for a, b in of] for seed in (11, 13)], np.uint64).view(np.int64)
+        _, first = np.unique(names, axis=1, return_index=True)
+        block_keys = np.unique(_counted_keys(np.concatenate(keys)))
+        told_codes = key_counts.codes_in_order(told)
+        sampler, combine = Sampler(bands * rows), constants(rows, 5)
+        n = len(keys)
+        signed, codes, spelled = [None] * n, [None] * n, [None] * n
+        now, weighed, held = [], [], 0
+
+        def flush() -> None:
+            if not now:
+                return
+            starts = np.cumsum([0, *(len(w) for w in weighed[:-1])])
+            draws = sampler.sample(np.concatenate([keys[i] for i in now]), np.concatenate(weighed), starts)
+            for i, row in zip(now, mix((draws.reshape(len(now), bands, rows) * combine).sum(axis=2, dtype=np.uint64)).view(np.int64)):
+                signed[i] = row
+
+        for i in np.sort(first).tolist():
+            if not len(keys[i]):
+                continue
+            own = told_codes[np.searchsorted(block_keys, _counted_keys(keys[i]))]
+            weights = counts[i] * idf(own, n_docs)
+            # Two texts share only what two documents hold: with less than that share of its weight in such shingles, a
+            # text is similar to no other.
+            if weights[own > 0].sum() < similarity * weights.sum() - 1e-9:
+                continue
+            codes[i] = zlib.compress(own.tobytes(), 1)
+            a, b = words.offsets[i], words.offsets[i + 1]
+            spelled[i] = zlib.compress(words.data[a:b].tobytes(), 1)
+            now.append(i)
+            weighed.append(weights)
+            held += len(weights)
+            if held >= SPAN:
+                flush()
+                now, weighed, held = [], [], 0
+        flush()
         columns = [
             block["doc_id"].combine_chunks(),
-            pa.array(total[0, :-1].view(np.int64)),
-            pa.array(total[1, :-1].view(np.int64)),
-            pa.array(out, pa.list_(pa.int64())),
-            pa.array([c.tobytes() for c in own], pa.binary()),
+            pa.array(names[0]),
+            pa.array(names[1]),
+            pa.array(signed, pa.list_(pa.int64())),
+            pa.array(codes, pa.binary()),
+            pa.array(spelled, pa.binary()),
         ]
         return pa.Table.from_arrays(columns, schema=schema)
 
@@ -153,8 +184,10 @@ def _compare(n_docs: int, width: int, similarity: float):
             return schema.empty_table()
 
         def vectors(table: pa.Table):
-            _, _, keys, counts = all_shingles(table["text"], width)
-            return [(k, c * idf(np.frombuffer(x.as_buffer(), np.uint8), n_docs)) for k, c, x in zip(keys, counts, table["codes"])]
+            texts = pa.array([zlib.decompress(x.as_buffer()) for x in table["words"]], pa.large_binary())
+            _, _, keys, counts = all_shingles(texts, width)
+            codes = (np.frombuffer(zlib.decompress(x.as_buffer()), np.uint8) for x in table["codes"])
+            return [(k, c * idf(code, n_docs)) for k, c, code in zip(keys, counts, codes)]
 
         (keys, weights), linked = vectors(pivot.slice(0, 1))[0], []
         for other, other_weights in vectors(members):
@@ -175,30 +208,30 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
 
     def keys_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         _, _, keys, _ = all_shingles(table["text"], width)
-        return np.unique(np.concatenate(keys), return_counts=True)
+        per_text = [np.unique(_counted_keys(k)) for k in keys]
+        return np.unique(np.concatenate(per_text), return_counts=True)
 
     told = key_counts.counted(blocks, keys_of, df_code)
     signed = (
         blocks.groupBy("block")
         .cogroup(told.groupBy("block"))
-        .applyInArrow(_sign(n_docs, width, bands, rows), "doc_id long, s1 long, s2 long, bands array<long>, codes binary")
+        .applyInArrow(_sign(n_docs, width, similarity, bands, rows), _SIGNED)
         .checkpoint()
     )
-    with_words = signed.filter("bands IS NOT NULL")
-    first = with_words.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    member_of = with_words.select("doc_id", "s1", "s2").join(first, ["s1", "s2"]).select("doc_id", "rep").distinct()
-    reps = with_words.join(first.withColumnRenamed("rep", "doc_id"), ["s1", "s2", "doc_id"]).dropDuplicates(["doc_id"])
+    first = signed.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
+    # The empty text is like no other, itself included.
+    empty = _sequence(np.zeros(0, np.uint64), 11)
+    member_of = signed.select("doc_id", "s1", "s2").join(first, ["s1", "s2"])
+    member_of = member_of.withColumn("rep", F.when(F.col("s1") == int(empty.view(np.int64)), F.col("doc_id")).otherwise(F.col("rep")))
+    member_of = member_of.select("doc_id", "rep").distinct()
+    reps = (
+        signed.filter("bands IS NOT NULL").join(first.withColumnRenamed("rep", "doc_id"), ["s1", "s2", "doc_id"]).dropDuplicates(["doc_id"])
+    )
     entries = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key"))
     shared = entries.groupBy("band", "key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
     # Texts that meet nobody are done; what follows is about the others.
     met = entries.join(shared, ["band", "key"]).checkpoint()
-    in_play = met.select(F.col("rep").alias("doc_id")).distinct()
-    vectors = (
-        identified.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(reps.select("doc_id", "codes").join(in_play, "doc_id"), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .checkpoint()
-    )
+    vectors = reps.select("doc_id", "words", "codes")
     compare = _compare(n_docs, width, similarity)
     pairs = met.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = _verified(pairs, vectors, compare).checkpoint()
@@ -242,6 +275,6 @@ def _verified(pairs: DataFrame, vectors: DataFrame, compare) -> DataFrame:
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     dealt = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("groups"))).select("a", "part", "b")
     members = dealt.join(vectors.withColumnRenamed("doc_id", "b"), "b")
-    pivots = dealt.select("a", "part").distinct().join(vectors.withColumnRenamed("doc_id", "a"), "a").select("a", "part", "text", "codes")
-    pivots = pivots.toDF("a", "part", "text", "codes")  # columns of its own, both sides being the same tables
+    pivots = dealt.select("a", "part").distinct().join(vectors.withColumnRenamed("doc_id", "a"), "a").select("a", "part", "words", "codes")
+    pivots = pivots.toDF("a", "part", "words", "codes")  # columns of its own, both sides being the same tables
     return members.groupBy("a", "part").cogroup(pivots.groupBy("a", "part")).applyInArrow(compare, "a long, b long")
