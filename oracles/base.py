@@ -47,7 +47,7 @@ FROM (
 
 BASE["b_store_sales"] = f"""
 SELECT o_orderkey, o_custkey, 'L' || c_nationkey AS location_id,
-       CASE WHEN o_custkey % 3 = 0 THEN 'M' || o_custkey END AS member_id,
+       CASE WHEN c_acctbal >= 0 THEN 'M' || o_custkey END AS member_id,
        {later("o_orderdate", "(o_orderkey * 37) % 86400")} AS transaction_dt
 FROM orders JOIN customer ON c_custkey = o_custkey
 WHERE c_nationkey % 5 <> 0
@@ -77,7 +77,7 @@ FROM supplier
 BASE["b_clock"] = f"""
 SELECT event_id AS k, user_id % {STAFF} AS emp_no, {choose("event_type", CLOCK_EVENTS)} AS event_type,
        date_trunc('second', ts) - INTERVAL {EVENT_SHIFT_DAYS} DAY AS event_dt
-FROM events WHERE event_type IN ('click', 'purchase', 'view', 'signup')
+FROM events WHERE event_type IN ('click', 'purchase', 'view', 'signup', 'error')
 """
 
 BASE["b_clock_events"] = f"""
@@ -133,7 +133,7 @@ SELECT 'CP' || p_partkey AS coupon_id, 'SAVE' || p_partkey AS code, 'Save on ' |
        CASE WHEN p_partkey % 100 = 0 THEN 0 ELSE 100 + p_partkey % 200 END AS max_uses, p_partkey % 90 AS uses_count,
        {day("1996-01-01", "p_partkey % 300")} AS valid_from, {day("1996-03-01", "p_partkey % 300")} AS valid_until,
        (p_partkey // 50) % 3 <> 0 AS is_active
-FROM part WHERE p_partkey % 50 = 0
+FROM part
 """
 
 BASE["b_deals"] = f"""
@@ -141,7 +141,7 @@ SELECT 'CD' || p_partkey AS deal_id, 'Deal ' || p_partkey AS deal_name, 'Bundle
        CASE WHEN p_partkey % 4 = 1 THEN 'bundle' ELSE 'bogo' END AS deal_type, 2 + p_partkey % 3 AS trigger_qty,
        {DEPT_NAME} AS trigger_department_name, {money("p_retailprice * CAST(0.8 AS DOUBLE)")} AS deal_price,
        {day("1996-01-01", "p_partkey % 300")} AS valid_from, {day("1996-03-01", "p_partkey % 300")} AS valid_until
-FROM part WHERE p_partkey % 50 = 1
+FROM part
 """
 
 BASE["b_transactions"] = f"""
@@ -173,7 +173,7 @@ SELECT 'M' || c_custkey AS member_id, 'Given' || (c_custkey % 50) AS first_name,
        'Given' || (c_custkey % 50) || ' ' || c_name AS full_name, 'm' || c_custkey || '@member.example' AS email,
        {day("1995-01-01", "c_custkey % 700")} AS signup_date, c_custkey % 500 AS points_balance,
        {pick(TIERS, "c_custkey")} AS tier
-FROM customer WHERE c_custkey % 3 = 0
+FROM customer
 """
 
 BASE["b_points"] = """
@@ -193,7 +193,7 @@ BASE["b_order_base"] = f"""
 SELECT o_orderkey, o_orderkey // 4 AS k, CASE WHEN c_nationkey % 5 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS store_no,
        ((o_orderkey // 4) % 5) * 5 AS warehouse_no, CAST(o_orderdate AS DATE) AS order_date,
        {later("o_orderdate", "(o_orderkey * 53) % 86400")} AS order_dt
-FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 4 = 0
+FROM orders JOIN customer ON c_custkey = o_custkey
 """
 
 BASE["b_store_orders"] = f"""
@@ -212,7 +212,7 @@ FROM (
   SELECT 'OI' || line_id AS item_id, 'O' || l_orderkey AS order_id, 'P' || l_partkey AS product_id,
          CAST(quantity AS INTEGER) AS quantity_requested,
          CASE WHEN (l_orderkey // 4 + ln) % 9 <> 0 THEN CAST(quantity AS INTEGER) - CASE WHEN ln % 3 = 0 THEN 1 ELSE 0 END END AS quantity_approved
-  FROM b_lines WHERE l_orderkey % 4 = 0)
+  FROM b_lines)
 """
 
 BASE["b_fulfilments"] = f"""
@@ -240,14 +240,14 @@ FROM (
          CAST(quantity AS INTEGER) AS quantity_requested,
          CAST(quantity AS INTEGER) - CASE WHEN (l_orderkey // 4 + ln) % 10 = 0 THEN 1 ELSE 0 END AS quantity_picked,
          CASE WHEN (l_orderkey // 4 + ln) % 10 = 0 THEN 'short' ELSE 'picked' END AS pick_status
-  FROM b_lines WHERE l_orderkey % 4 = 0 AND (l_orderkey // 4) % 6 <> 0)
+  FROM b_lines WHERE (l_orderkey // 4) % 6 <> 0)
 """
 
 BASE["b_trucks"] = """
 SELECT 'TR' || n_nationkey AS truck_id, 'PLT-' || n_nationkey AS license_plate, 'Make' || (n_nationkey % 4) AS make,
        'Model' || (n_nationkey % 6) AS model, 2015 + n_nationkey % 8 AS year, 10 + n_nationkey % 15 AS capacity_pallets,
        CASE WHEN n_nationkey % 5 = 4 THEN 'false' ELSE 'true' END AS is_active
-FROM nation WHERE n_nationkey < 20
+FROM nation
 """
 
 BASE["b_shipments"] = """
@@ -324,7 +324,7 @@ SELECT 'SH' || line_id AS event_id, 'P' || l_partkey AS product_id,
        CAST(sale_day AS TIMESTAMP) + INTERVAL 20 HOUR AS recorded_at, {pick(SHRINK_REASONS, "(l_orderkey + ln) // 5")} AS shrinkage_type,
        CAST(1 + CAST(quantity AS INTEGER) % 5 AS DECIMAL(18,4)) AS quantity_lost,
        CAST((1 + CAST(quantity AS INTEGER) % 5) * unit_cost AS DECIMAL(18,4)) AS estimated_value_lost
-FROM b_dated_lines WHERE l_returnflag = 'R' AND (l_orderkey + ln) % 5 = 0
+FROM b_dated_lines WHERE l_returnflag = 'R'
 """
 
 BASE["b_ads"] = """

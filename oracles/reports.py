@@ -161,7 +161,7 @@ def chart_sql(chart: Chart) -> str:
     numbers = [str(i + 1) for i in range(len(keys))]
     first = next(iter(values.values()))
     order = ", ".join([f"{first} DESC NULLS FIRST", *[f"{n} ASC NULLS FIRST" for n in numbers]])
-    return f"{text} GROUP BY {', '.join(numbers)} ORDER BY {order} LIMIT {chart.limit}"
+    return f"{text} GROUP BY {', '.join(numbers)} ORDER BY {order}" + (f" LIMIT {chart.limit}" if chart.limit else "")
 
 
 def dashboards_sql() -> dict[str, str]:
@@ -331,15 +331,29 @@ SELECT member_id, first_name, last_name, email, CAST(signup_date AS VARCHAR) AS
        CAST(NULL AS VARCHAR) AS tier FROM b_members""",
         "i07_event_stream": """
 SELECT 'T' || event_id AS event_id, 'E' || user_id AS employee_id,
-       CASE event_type WHEN 'click' THEN 'clock_in' WHEN 'purchase' THEN 'clock_out' WHEN 'view' THEN 'break_start' ELSE 'break_end' END AS event_type,
+       CASE event_type WHEN 'click' THEN 'clock_in' WHEN 'purchase' THEN 'clock_out' WHEN 'view' THEN 'break_start' WHEN 'error' THEN 'clock_out' ELSE 'break_end' END AS event_type,
        ts AS event_dt, props AS notes
-FROM events WHERE event_type IN ('click', 'purchase', 'view', 'signup')""",
+FROM events WHERE event_type IN ('click', 'purchase', 'view', 'signup', 'error')""",
         "i08_materialised_mart": mart_daily_revenue,
         "i09_csv_export": " UNION ALL ".join(
-            f"SELECT '{i:03d}_{c.title.replace(': ', '_').replace(' ', '_').lower()}.csv' AS file, least(count(*), 10000) AS row_count FROM t_{c.mart}"
+            f"SELECT '{i:03d}_{c.title.replace(': ', '_').replace(' ', '_').lower()}.csv' AS file, count(*) AS row_count FROM t_{c.mart}"
             for i, c in enumerate(exported, start=1)
         ),
-        "i10_delivery_check": "SELECT 8 AS csv_files, true AS manifest, true AS complete FROM (SELECT count(*) FROM orders)",
+        "i10_delivery_check": " UNION ALL ".join(
+            f"SELECT '{i:03d}_{c.title.replace(': ', '_').replace(' ', '_').lower()}.csv' AS file, count(*) AS mart_rows, count(*) AS file_rows,"
+            f" count(*) AS manifest_rows, true AS complete FROM t_{c.mart}"
+            for i, c in enumerate(exported, start=1)
+        ),
+        "i01_landing_scan": f"""
+SELECT 'P' || p_partkey AS product_id, p_name || ' #' || p_partkey AS name, CAST({money("p_retailprice")} AS VARCHAR) AS current_price,
+       CAST(p_partkey % 13 <> 0 AS VARCHAR) AS is_active FROM part""",
+        "i04_repeated_loads": f"""
+SELECT transaction_id, CASE WHEN transaction_dt >= TIMESTAMP '2001-01-01' THEN 'corrected' ELSE payment_method END AS payment_method, {f8("total")} AS total
+FROM b_transactions""",
+        "i06_create_or_recreate": """
+SELECT action, department_id, name FROM (SELECT department_id, department_name AS name FROM b_departments), (VALUES ('create'), ('recreate'), ('keep')) v(action)""",
+        "i07_late_stream": f"""
+SELECT transaction_id, member_id, {f8("total")} AS total FROM b_transactions""",
         "i11_source_freshness": " UNION ALL ".join(
             f"SELECT '{t.schema_name}' AS source, '{t.table_name}' AS \"table\", {STAMP} AS max_loaded_at, CAST(36 AS DOUBLE) AS age_hours,"
             f" 'warn' AS status FROM {RAW_AS[t.name]} HAVING count(*) > 0"

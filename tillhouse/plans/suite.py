@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ from tillhouse.sources import landing
 from tillhouse.sources.export import delivery_complete, export_report
 from tillhouse.sources.order_book import CLOCK_EVENTS, OrderBookSource
 from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
-from tillhouse.streaming.polling import load_stream
+from tillhouse.streaming.polling import landing_stream, load_stream
 
 SALES_AS_OF = date(2001, 8, 2)
 CLOCK_AS_OF = date(2001, 7, 31)
@@ -149,7 +149,7 @@ def chart_key(chart: Chart) -> str:
         feature = "b03"
     elif chart.grain:
         feature = "b04"
-    elif chart.group_by and chart.limit < 10_000:
+    elif chart.group_by and chart.limit:
         feature = "b05"
     elif chart.group_by:
         feature = "b01"
@@ -300,7 +300,8 @@ def _incremental(spark: SparkSession, directory: str) -> DataFrame:
     entry = RAW_TABLES["raw_pos.transactions"]
     source = _receipts(spark, directory)
     current = source.filter(F.col("transaction_dt").cast("timestamp") < F.lit(LOADED_UNTIL))
-    fetched = landing.incremental(source, current, entry, LOAD_NOW)
+    newest = current.agg(F.max(F.col("transaction_dt").cast("timestamp"))).scalar()
+    fetched = landing.incremental(source, newest, entry, LOAD_NOW)
     return fetched.select("transaction_id", F.col("transaction_dt").cast("timestamp").alias("transaction_dt"))
 
 
@@ -385,21 +386,79 @@ def _export(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _delivery(spark: SparkSession, directory: str) -> DataFrame:
+    """Headline marts exported, then counted against the marts and the manifest."""
+    root, table = _scratch(spark), stored(spark, directory)
+    export_report(spark, table, root, SALES_AS_OF, LOAD_NOW)
+    return delivery_complete(spark, table, root, SALES_AS_OF)
+
+
+def _repeated_loads(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts loaded up to 2001, then all of them with 2001 corrected, compacted, loaded once more, read."""
+    source = _receipts(spark, directory)
+    entry = RAW_TABLES["raw_pos.transactions"]
+    store = landing.RawStore(spark, _scratch(spark))
+    store.load(entry, source, LOADED_UNTIL)
+    late = F.col("transaction_dt").cast("timestamp") >= F.lit(LOADED_UNTIL)
+    corrected = source.withColumn("payment_method", F.when(late, "corrected").otherwise(F.col("payment_method")))
+    store.load(entry, corrected, LOAD_NOW)
+    store.compact(entry, LOAD_NOW + timedelta(hours=1))
+    store.load(entry, corrected.filter(late), LOAD_NOW + timedelta(hours=2))
+    return store.read(entry).select("transaction_id", "payment_method", F.col("total").cast("double").alias("total"))
+
+
+def _late_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts streamed newest year first, one file a batch, the oldest year twice: late rows stay, repeats don't."""
+    configure(spark)
+    entry = RAW_TABLES["raw_pos.transactions"]
+    scratch = _scratch(spark)
+    folder = f"{scratch}/landing/{entry.schema_name}/{entry.table_name}"
+    source = landing.conform(_receipts(spark, directory), list(entry.columns))
+    year = F.year(F.col("transaction_dt").cast("timestamp"))
+    for after, before in ((1998, 9999), (1994, 1998), (0, 1994), (0, 1994)):
+        source.filter((year >= after) & (year < before)).write.mode("append").json(folder)
+    stream = landing_stream(spark, f"{scratch}/landing", entry, files_per_batch=1)
+    store = landing.RawStore(spark, f"{scratch}/raw")
+    load_stream(stream, store, entry, f"{scratch}/progress").awaitTermination()
+    return store.read(entry).select("transaction_id", "member_id", F.col("total").cast("double").alias("total"))
+
+
+def _landing_scan(spark: SparkSession, directory: str) -> DataFrame:
+    """Products delivered as JSON lines and read back as text with the registered columns."""
+    entry = RAW_TABLES["raw_pos.products"]
     root = _scratch(spark)
-    export_report(spark, stored(spark, directory), root, SALES_AS_OF, LOAD_NOW)
-    return delivery_complete(spark, root, SALES_AS_OF)
+    products = landing.conform(landing.as_text(warehouse(spark, directory).raw(entry.name)), list(entry.columns))
+    products.write.json(f"{root}/{entry.schema_name}/{entry.table_name}")
+    return landing.read_landing(spark, root, entry).select("product_id", "name", "current_price", "is_active")
+
+
+def _create_or_recreate(spark: SparkSession, directory: str) -> DataFrame:
+    """Departments loaded into a new table, into one without the key column, and into one that fits."""
+    entry = RAW_TABLES["raw_pos.departments"]
+    rows = warehouse(spark, directory).raw(entry.name)
+    parts = []
+    for existing in (None, ["other"], list(entry.columns)):
+        store = landing.RawStore(spark, _scratch(spark))
+        if existing:
+            store.write_batch(entry, rows.select([F.lit("old").alias(c) for c in existing]), landing.batch_name(LOADED_UNTIL))
+        action = landing.prepare(store, entry, existing, rows, LOAD_NOW)
+        parts.append(store.read(entry).select(F.lit(action).alias("action"), "department_id", "name"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def ingest_queries() -> dict[str, Query]:
     return {
         "i01_source_scan": _source_scan,
+        "i01_landing_scan": _landing_scan,
         "i02_full_refresh": _full_refresh,
         "i03_incremental_window": _incremental,
         "i03_backfill_window": _backfill,
         "i04_upsert": _upsert,
+        "i04_repeated_loads": _repeated_loads,
         "i05_text_form": _text_form,
         "i06_schema_drift": _schema_drift,
+        "i06_create_or_recreate": _create_or_recreate,
         "i07_event_stream": _event_stream,
+        "i07_late_stream": _late_stream,
         "i08_materialised_mart": lambda spark, directory: comparable(stored(spark, directory)("mart_daily_revenue")),
         "i09_csv_export": _export,
         "i10_delivery_check": _delivery,

@@ -1,17 +1,18 @@
 """Loading source extracts into the raw layer.
 
-A raw table is a folder of batches, `<root>/<schema>/<table>/_batch=<id>`. A batch is written to its
-own folder, so a retry replaces only itself and a failed load leaves the table as it was. A full
-table is its newest complete batch. An incremental table is the last write per key over all batches;
-`compact` folds them into one. Where the catalog has a table format with MERGE, use that instead.
+A raw table is a folder of batches, `<root>/<schema>/<table>/_batch=<id>`, and a log beside them with a
+row for each complete batch. A batch is written to its own folder, so a retry replaces only itself and
+a failed load leaves the table as it was. A full table is its newest batch. An incremental table is the
+last write per key; `compact` folds the batches into one, and later reads leave the folded ones out.
+A read is one scan of the live batches. Where the catalog has a table format with MERGE, use that instead.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-from functools import reduce
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +24,10 @@ from tillhouse.sources.raw_tables import (
     RawTable,
 )
 
-# Fixed value: how far back an incremental table starts when it has no rows yet.
-FALLBACK_DAYS = 365
 BATCH = "_batch"
+LOG = "batch string, newest timestamp, covers array<string>, keyed boolean"
+# Batches of a stream are numbered, before those that are named after their time.
+STREAM_PREFIX = "0-"
 
 
 # ---- reading extracts
@@ -71,28 +73,26 @@ def conform(frame: DataFrame, columns: list[str]) -> DataFrame:
 # ---- merging
 
 
-def window_start(current: DataFrame | None, table: RawTable, now: datetime) -> Column:
-    """Newest loaded watermark, or the fallback when nothing is loaded. A scalar subquery, not a collect."""
-    fallback = F.lit(now - timedelta(days=FALLBACK_DAYS)).cast("timestamp")
-    if current is None:
-        return fallback
-    latest = current.agg(F.max(F.col(table.watermark).cast("timestamp"))).scalar()
-    return F.coalesce(latest, fallback)
-
-
 def incremental(
     extract: DataFrame,
-    current: DataFrame | None,
+    newest: Column | datetime | None,
     table: RawTable,
     now: datetime,
     start: datetime | None = None,
     end: datetime | None = None,
 ) -> DataFrame:
-    """Rows whose watermark lies in [newest loaded, now], or in an explicit window given for a backfill."""
+    """Rows whose watermark lies in [newest loaded, now], or in an explicit window given for a backfill.
+
+    With nothing loaded yet there is no lower bound.
+    """
     moment = F.col(table.watermark).cast("timestamp")
-    low = F.lit(start).cast("timestamp") if start and end else window_start(current, table, now)
-    high = F.lit(end if start and end else now).cast("timestamp")
-    return extract.filter((moment >= low) & (moment <= high))
+    if start and end:
+        return extract.filter((moment >= F.lit(start)) & (moment <= F.lit(end)))
+    rows = extract.filter(moment <= F.lit(now))
+    if newest is None:
+        return rows
+    low = newest if isinstance(newest, Column) else F.lit(newest)
+    return rows.filter(low.isNull() | (moment >= low.cast("timestamp")))
 
 
 def last_write_wins(frame: DataFrame, key: str, *newest_first: Column) -> DataFrame:
@@ -104,8 +104,8 @@ def last_write_wins(frame: DataFrame, key: str, *newest_first: Column) -> DataFr
 def upsert(current: DataFrame, incoming: DataFrame, table: RawTable) -> DataFrame:
     """Current rows replaced or extended by incoming ones; all non-key columns are replaced.
 
-    The order is load time, incoming before current, watermark, then the row's own text, so that
-    several versions of a key in one load give the same winner on every run.
+    The order is load time, incoming before current, watermark, then the row's hash, so that several
+    versions of a key in one load give the same winner on every run.
     """
     if table.key not in current.columns:
         current = current.limit(0).select(*[F.lit(None).cast("string").alias(c) for c in incoming.columns])
@@ -114,13 +114,14 @@ def upsert(current: DataFrame, incoming: DataFrame, table: RawTable) -> DataFram
         conform_like(incoming, columns).withColumn("_arrival", F.lit(1))
         .unionByName(current.withColumn("_arrival", F.lit(0)), allowMissingColumns=True)
     )
-    content = F.to_json(F.struct(*columns))
-    order = [F.desc(EXTRACTED_AT), F.desc("_arrival"), *newest(table, columns), content.desc()]
+    order = [F.desc(EXTRACTED_AT), F.desc("_arrival"), *version_order(table, columns)]
     return last_write_wins(both, table.key, *order).select(*columns)
 
 
-def newest(table: RawTable, columns: list[str]) -> list[Column]:
-    return [F.col(table.watermark).cast("timestamp").desc()] if table.watermark in columns else []
+def version_order(table: RawTable, columns: list[str]) -> list[Column]:
+    """Of versions loaded together: the newest watermark, then the greatest hash of the row."""
+    moment = [F.col(table.watermark).cast("timestamp").desc()] if table.watermark in columns else []
+    return [*moment, F.xxhash64(*columns).desc()]
 
 
 def conform_like(frame: DataFrame, columns: list[str]) -> DataFrame:
@@ -146,44 +147,52 @@ class RawStore:
     def path(self, table: RawTable) -> str:
         return f"{self.root}/{table.schema_name}/{table.table_name}"
 
-    def batches(self, table: RawTable) -> list[str]:
-        """Ids of complete batches, oldest first."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not files.exists(folder):
+    def log(self, table: RawTable, before: str | None = None) -> list[Row]:
+        """One row per complete batch, those older than `before` only. Its length is the number of loads."""
+        try:
+            rows = self.spark.read.schema(LOG).parquet(f"{self.path(table)}/_log").collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
-        found = []
-        for status in files.listStatus(folder):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith(f"{BATCH}=") and files.exists(done):
-                found.append(name.split("=", 1)[1])
-        return sorted(found)
-
-    def write_batch(self, table: RawTable, frame: DataFrame, batch_id: str) -> None:
-        frame.write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH}={batch_id}")
-
-    def _read(self, table: RawTable, batch_id: str) -> DataFrame:
-        frame = self.spark.read.parquet(f"{self.path(table)}/{BATCH}={batch_id}")
-        return frame.withColumn(BATCH, F.lit(batch_id))
+        return [r for r in rows if before is None or r.batch < before]
+
+    def live(self, table: RawTable, before: str | None = None) -> list[str]:
+        """Ids of the batches that make the table, oldest first."""
+        rows = self.log(table, before)
+        covered = {b for r in rows for b in r.covers}
+        ids = sorted({r.batch for r in rows if r.keyed} - covered)
+        return ids if table.incremental else ids[-1:]
+
+    def write_batch(self, table: RawTable, frame: DataFrame, batch_id: str, covers: tuple[str, ...] = ()) -> None:
+        """Write a batch, then log it with its newest watermark; what isn't logged isn't read."""
+        seen = Observation()
+        moment = F.col(table.watermark) if table.watermark in frame.columns else F.lit(None)
+        frame.observe(seen, F.max(moment.cast("timestamp")).alias("newest")).write.mode("overwrite").parquet(
+            f"{self.path(table)}/{BATCH}={batch_id}"
+        )
+        row = (batch_id, seen.get.get("newest"), list(covers), table.key in frame.columns)
+        self.spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").parquet(f"{self.path(table)}/_log")
 
     def read(self, table: RawTable, before: str | None = None) -> DataFrame | None:
-        """The table's current rows, or those of batches older than `before`."""
-        ids = [i for i in self.batches(table) if before is None or i < before]
+        """The table's current rows, or those of batches older than `before`.
+
+        All batches are read with the registered columns: one that lacks some has NULL there.
+        """
+        ids = self.live(table, before)
         if not ids:
             return None
+        stamps = ", ".join(f"{c} timestamp" for c in METADATA_COLUMNS)
+        columns = ", ".join(f"`{c}` string" for c in table.columns)
+        rows = self.spark.read.schema(f"{columns}, {stamps}, {BATCH} string").parquet(self.path(table)).filter(F.col(BATCH).isin(ids))
         if not table.incremental:
-            return self._read(table, ids[-1]).drop(BATCH)
-        parts = [p for p in (self._read(table, i) for i in ids) if schema_action(p.columns, table) == "keep"]
-        if not parts:
-            return None
-        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        # The first batch decides the columns; later ones may lack some or bring more.
-        merged = merged.select(*parts[0].columns)
-        content = F.to_json(F.struct(*[c for c in merged.columns if c != BATCH]))
-        order = [F.desc(EXTRACTED_AT), F.desc(BATCH), *newest(table, merged.columns), content.desc()]
-        return last_write_wins(merged, table.key, *order).drop(BATCH)
+            return rows.drop(BATCH)
+        order = [F.desc(EXTRACTED_AT), F.desc(BATCH), *version_order(table, [c for c in rows.columns if c != BATCH])]
+        return last_write_wins(rows, table.key, *order).drop(BATCH)
+
+    def newest(self, table: RawTable, before: str | None = None) -> datetime | None:
+        """The newest watermark loaded, from the log."""
+        return max((r.newest for r in self.log(table, before) if r.keyed and r.newest), default=None)
 
     def load(
         self,
@@ -197,14 +206,29 @@ class RawStore:
 
         The window starts from older batches only, so running a load again fetches the same rows.
         """
-        batch_id = now.strftime("%Y%m%dT%H%M%S")
+        batch_id = batch_name(now)
         rows = extract
         if table.incremental:
-            rows = incremental(extract, self.read(table, before=batch_id), table, now, start, end)
+            rows = incremental(extract, self.newest(table, before=batch_id), table, now, start, end)
         self.write_batch(table, stamp(conform(as_text(rows), list(table.columns)), now), batch_id)
 
-    def compact(self, table: RawTable, batch_id: str) -> None:
-        """Write the merged state as one batch; older batches may be removed once it is complete."""
-        merged = self.read(table)
+    def compact(self, table: RawTable, now: datetime) -> None:
+        """Write the merged state as one batch that stands for those it was made of; they may then be removed."""
+        ids, merged = self.live(table), self.read(table)
         if merged is not None:
-            self.write_batch(table, merged, batch_id)
+            self.write_batch(table, merged, batch_name(now), tuple(ids))
+
+
+def batch_name(now: datetime) -> str:
+    return now.strftime("%Y%m%dT%H%M%S%f")
+
+
+def prepare(store: RawStore, table: RawTable, existing: list[str] | None, frame: DataFrame, now: datetime) -> str:
+    """Load a frame into a table of `existing` columns: kept, created, or begun anew if it lacks the key.
+
+    A table begun anew holds the new batch alone. Returns what was done.
+    """
+    action = schema_action(existing, table)
+    covers = tuple(r.batch for r in store.log(table)) if action == "recreate" else ()
+    store.write_batch(table, stamp(conform(as_text(frame), list(table.columns)), now), batch_name(now), covers)
+    return action

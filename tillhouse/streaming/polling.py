@@ -6,44 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillhouse.sources.landing import RawStore, as_text, conform, stamp
+from tillhouse.sources.landing import STREAM_PREFIX, RawStore, as_text, conform, stamp
 from tillhouse.sources.raw_tables import RawTable
 
 
-def without_repeats(stream: DataFrame, table: RawTable, lateness: str) -> DataFrame:
-    """Drop identical rows delivered again within `lateness`; changed versions of a key pass.
-
-    State is bounded by the watermark. Rows later than the watermark are dropped, as a poll from the
-    newest watermark would miss them; leave `lateness` out to keep every row.
-    """
-    content = F.sha2(F.to_json(F.struct(*stream.columns)), 256)
-    return (
-        stream.withColumn("_seen_at", F.col(table.watermark).cast("timestamp"))
-        .withColumn("_content", content)
-        .withWatermark("_seen_at", lateness)
-        .dropDuplicatesWithinWatermark([table.key, "_content"])
-        .drop("_seen_at", "_content")
-    )
-
-
-def load_stream(
-    stream: DataFrame,
-    store: RawStore,
-    table: RawTable,
-    checkpoint: str,
-    lateness: str | None = None,
-) -> StreamingQuery:
+def load_stream(stream: DataFrame, store: RawStore, table: RawTable, checkpoint: str) -> StreamingQuery:
     """Process all extracts available now, then stop.
 
-    A batch folder is named after the batch id, so a batch that is run again after a failure replaces
-    its own output; reading merges batches by key.
+    A batch is named after the batch id, so one that is run again after a failure replaces its own
+    output. Every row is kept, however late; reading merges batches by key, which drops repeats exactly
+    and needs no state.
     """
-    if lateness:
-        stream = without_repeats(stream, table, lateness)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = conform(as_text(batch), list(table.columns))
-        store.write_batch(table, stamp(rows, F.current_timestamp()), f"{batch_id:012d}")
+        store.write_batch(table, stamp(rows, F.current_timestamp()), f"{STREAM_PREFIX}{batch_id:012d}")
 
     return (
         stream.writeStream.foreachBatch(write)
