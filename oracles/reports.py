@@ -69,9 +69,11 @@ def _measure(m: Measure) -> str:
     return f8(exact_sum(m.column)) if m.aggregate == "sum" else exact_avg(m.column)
 
 
-def _grouped(mart: str, values: dict[str, Measure], group_by: list[str], grain: str | None) -> str:
+def _grouped(
+    mart: str, values: dict[str, Measure], group_by: list[str], grain: str | None, time_column: str | None = None
+) -> str:
     spec = MARTS[mart]
-    columns = [f"CAST(date_trunc('{grain}', {spec.time_column}) AS DATE) AS metric_time"] if grain else []
+    columns = [f"CAST(date_trunc('{grain}', {time_column or spec.time_column}) AS DATE) AS metric_time"] if grain else []
     columns += [f"{spec.entities.get(g, g)} AS {g}" for g in group_by]
     columns += [f"{_measure(m)} AS {name}" for name, m in values.items()]
     grouping = f" GROUP BY {', '.join(str(i + 1) for i in range(len(group_by) + bool(grain)))}" if group_by or grain else ""
@@ -96,29 +98,40 @@ def metric_sql(names: list[str], group_by: list[str], grain: str | None) -> str:
     return f"SELECT {', '.join(keys + shown)} FROM ({source})"
 
 
-def series_sql(name: str, group_by: list[str]) -> str:
+def series_sql(name: str, group_by: list[str], grain: str) -> str:
     metric = METRICS[name]
     measure = MEASURES[metric.measure or METRICS[metric.base].measure]
     daily = f"(SELECT * FROM ({_grouped(measure.mart, {'v': measure}, group_by, 'day')}) WHERE metric_time IS NOT NULL)"
     groups = "".join(f", a.{g}" for g in group_by)
     if metric.kind == "offset":
         same = "".join(f" AND a.{g} IS NOT DISTINCT FROM b.{g}" for g in group_by)
+        if grain != "day":
+            listed = "".join(f", {g}" for g in group_by)
+            now = f"(SELECT CAST(date_trunc('{grain}', metric_time) AS DATE) AS metric_time{listed}, {exact_sum('v')} AS v FROM {daily} GROUP BY ALL)"
+            then = now.replace("metric_time) AS DATE)", f"metric_time + {metric.days}) AS DATE)")
+            return f"""
+SELECT a.metric_time{groups}, {f8("CAST(a.v AS DECIMAL(28,6)) - CAST(b.v AS DECIMAL(28,6))")} AS {name}
+FROM {now} a JOIN {then} b ON b.metric_time = a.metric_time{same}"""
         return f"""
 SELECT a.metric_time{groups}, {f8("CAST(a.v AS DECIMAL(28,6)) - CAST(b.v AS DECIMAL(28,6))")} AS {name}
 FROM {daily} a JOIN {daily} b ON b.metric_time = a.metric_time - {metric.days}{same}"""
-    return f"""
+    days = f"""
 SELECT CAST(d AS DATE) AS metric_time{groups}, {f8(exact_sum("a.v"))} AS {name}
 FROM (SELECT unnest(generate_series(min(metric_time), max(metric_time), INTERVAL 1 DAY)) AS d FROM {daily}) s
 JOIN {daily} a ON a.metric_time <= d AND date_trunc('{metric.period}', a.metric_time) = date_trunc('{metric.period}', d)
 GROUP BY ALL"""
+    if grain == "day":
+        return days
+    listed = "".join(f", {g}" for g in group_by)
+    return f"SELECT CAST(date_trunc('{grain}', metric_time) AS DATE) AS metric_time{listed}, arg_max({name}, metric_time) AS {name} FROM ({days}) GROUP BY 1{listed}"
 
 
 def metrics_sql() -> dict[str, str]:
     found = {key: metric_sql(*spec) for key, spec in suite.METRIC_SLICES.items()}
     found |= {key: series_sql(*spec) for key, spec in suite.SERIES_SLICES.items()}
-    for key, (names, group_by, grain) in suite.MEASURE_SLICES.items():
+    for key, (names, group_by, grain, time_column) in suite.MEASURE_SLICES.items():
         values = {n: MEASURES[n] for n in names}
-        found[key] = _grouped(next(iter(values.values())).mart, values, group_by, grain)
+        found[key] = _grouped(next(iter(values.values())).mart, values, group_by, grain, time_column)
     return found
 
 

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from tillhouse.functions import divide, percent, shift_hours
 from tillhouse.operators.ranking import global_ntile, global_row_number, previous_in_group
 from tillhouse.plans.charts import ChartMetric, Filter, heatmap, kpi_query
-from tillhouse.plans.metrics import MetricLayer
+from tillhouse.plans.metrics import MEASURES, MetricLayer
 from tillhouse.plans.quality import promotion_dates
 from tillhouse.plans.registry import Params
+from tillhouse.plans.suite import MEASURE_SLICES
 
 STORE = {"location_id": "L1", "name": "One", "city": "C", "state": "S", "location_type": "store", "is_active": "true"}
 DEPOT = {**STORE, "location_id": "L0", "name": "Depot", "location_type": "warehouse"}
@@ -324,8 +325,18 @@ def test_offset_across_a_gap_and_year_to_date(frame):
     assert running == {date(2000, 12, 30): 5.0, date(2000, 12, 31): 12.0, date(2001, 1, 2): 1.0, date(2001, 1, 3): 5.0}
     month = {r.metric_time: float(r.mtd_revenue) for r in layer.query(["mtd_revenue"]).collect()}
     assert month == running
+    ends = {r.metric_time: float(r.ytd_revenue) for r in layer.query(["ytd_revenue"], grain="month").collect()}
+    assert ends == {date(2000, 12, 1): 12.0, date(2001, 1, 1): 5.0}
+    months = {r.metric_time: float(r.revenue_dod_growth) for r in layer.query(["revenue_dod_growth"], grain="month").collect()}
+    assert months == {date(2000, 12, 1): 12.0 - 5.0, date(2001, 1, 1): 5.0 - (7.0 + 1.0 + 4.0)}
     with pytest.raises(ValueError):
-        layer.query(["ytd_revenue"], grain="month")
+        layer.query(["ytd_revenue"], grain=None)
+    with pytest.raises(ValueError):
+        layer.measures(["daily_revenue_total_revenue"], time_column="signup_date")
+
+
+def test_every_measure_has_a_query():
+    assert {name for names, *_ in MEASURE_SLICES.values() for name in names} == set(MEASURES)
 
 
 def test_to_date_fills_days_without_data(frame):

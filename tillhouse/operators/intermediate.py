@@ -530,15 +530,17 @@ def int_loyalty_enriched(p: Params, members: DataFrame, points: DataFrame, trans
     receipts = transactions.select(
         F.col("transaction_id").alias("_txn"), "transaction_date", F.col("total").alias("transaction_total")
     )
-    events = points.withColumnRenamed("member_id", "_member")
+    known = members.select(
+        "member_id",
+        F.col("tier").alias("current_tier"),
+        F.col("points_balance").alias("current_points_balance"),
+        "signup_date",
+    )
+    # An inner join can be split on a hot member, a left join on its null-supplying side cannot.
+    active = known.join(points, "member_id")
+    idle = known.join(points.select("member_id").distinct(), "member_id", "left_anti")
     return (
-        members.select(
-            "member_id",
-            F.col("tier").alias("current_tier"),
-            F.col("points_balance").alias("current_points_balance"),
-            "signup_date",
-        )
-        .join(events, F.col("member_id") == F.col("_member"), "left")
+        active.unionByName(idle, allowMissingColumns=True)
         .join(receipts, F.col("transaction_id") == F.col("_txn"), "left")
         .select(
             "member_id",

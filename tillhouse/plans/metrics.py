@@ -230,17 +230,19 @@ class MetricLayer:
         for name in metrics:
             kind = METRICS[name].kind
             if kind in ("to_date", "offset"):
-                if grain != "day":
-                    raise ValueError(f"{name} is a daily series; ask for grain='day'")
+                if not grain:
+                    raise ValueError(f"{name} is a series; ask for a grain")
                 build = self._to_date if kind == "to_date" else self._offset
-                parts.append(build(METRICS[name], group_by, where))
+                parts.append(build(METRICS[name], group_by, where, grain))
         return self._merge(parts, keys).select(*keys, *metrics)
 
-    def measures(self, names: Iterable[str], group_by: Iterable[str] = (), grain: str | None = "day") -> DataFrame:
-        """Raw measures of one mart, including those no metric uses."""
+    def measures(
+        self, names: Iterable[str], group_by: Iterable[str] = (), grain: str | None = "day", time_column: str | None = None
+    ) -> DataFrame:
+        """Raw measures of one mart, including those no metric uses, by any of its time columns."""
         wanted = {name: MEASURES[name] for name in names}
         (mart,) = {m.mart for m in wanted.values()}
-        return self._group(mart, wanted, list(group_by), grain, None)
+        return self._group(mart, wanted, list(group_by), grain, None, time_column)
 
     # ---- simple and ratio
 
@@ -262,16 +264,22 @@ class MetricLayer:
         return merged.withColumns(ratios).select(*keys, *metrics) if ratios else merged.select(*keys, *metrics)
 
     def _group(
-        self, mart: str, wanted: dict[str, Measure], group_by: list[str], grain: str | None, where: Column | None
+        self,
+        mart: str,
+        wanted: dict[str, Measure],
+        group_by: list[str],
+        grain: str | None,
+        where: Column | None,
+        time_column: str | None = None,
     ) -> DataFrame:
         spec, frame = MARTS[mart], self.table(mart)
         if where is not None:
             frame = frame.filter(where)
         keys = [F.col(self._column(spec, name)).alias(name) for name in group_by]
         if grain:
-            if spec.time_column is None:
-                raise ValueError(f"{mart} has no time dimension")
-            keys.insert(0, F.to_date(F.date_trunc(grain, F.col(spec.time_column))).alias(TIME))
+            if spec.time_column is None or time_column and time_column not in spec.time_columns:
+                raise ValueError(f"{mart} has no time dimension {time_column or ''}")
+            keys.insert(0, F.to_date(F.date_trunc(grain, F.col(time_column or spec.time_column))).alias(TIME))
         return frame.groupBy(*keys).agg(
             *[aggregate(frame, m.aggregate, m.column).alias(name) for name, m in wanted.items()]
         )
@@ -300,10 +308,11 @@ class MetricLayer:
         daily = self._group(m.mart, {metric: m}, group_by, "day", where)
         return daily.filter(F.col(TIME).isNotNull())
 
-    def _to_date(self, metric: Metric, group_by: list[str], where: Column | None) -> DataFrame:
+    def _to_date(self, metric: Metric, group_by: list[str], where: Column | None, grain: str = "day") -> DataFrame:
         """Running total that restarts every period; a day without data repeats the total so far.
 
-        Each total is stretched over the days up to the next one instead of joining a calendar.
+        Each total is stretched over the days up to the next one instead of joining a calendar. A coarser
+        grain shows the total at the end of each of its periods.
         """
         daily = self._daily(metric.name, metric.measure, group_by, where).withColumn(
             "_period", F.trunc(TIME, metric.period)
@@ -314,20 +323,31 @@ class MetricLayer:
         step = F.expr("interval 1 year" if metric.period == "year" else "interval 1 month")
         period_end = F.date_sub((F.col("_period") + step).cast("date"), 1)
         until = F.coalesce(F.date_sub(F.lead(TIME).over(series), 1), F.least(period_end, last_day))
-        return (
+        days = (
             daily.withColumns({"_total": so_far, "_until": until})
             .withColumn(TIME, F.explode(F.sequence(TIME, "_until")))
             .select(TIME, *group_by, F.col("_total").alias(metric.name))
         )
+        if grain == "day":
+            return days
+        shown = F.to_date(F.date_trunc(grain, TIME))
+        return days.groupBy(shown.alias("_shown"), *group_by).agg(F.max_by(metric.name, TIME).alias(metric.name)).withColumnRenamed("_shown", TIME)
 
-    def _offset(self, metric: Metric, group_by: list[str], where: Column | None) -> DataFrame:
-        """Today minus the same metric N days ago, for days where both exist."""
+    def _offset(self, metric: Metric, group_by: list[str], where: Column | None, grain: str = "day") -> DataFrame:
+        """Today minus the same metric N days ago, for days where both exist.
+
+        At a coarser grain: a period's total minus the total of its days moved N days back.
+        """
         daily = self._daily(metric.name, METRICS[metric.base].measure, group_by, where)
         earlier = daily.select(
             F.date_add(TIME, metric.days).alias("_then"),
             *[F.col(g).alias(f"_then_{g}") for g in group_by],
             F.col(metric.name).alias("_before"),
         )
+        if grain != "day":
+            shown = lambda day: F.to_date(F.date_trunc(grain, day))
+            daily = daily.groupBy(shown(TIME).alias(TIME), *group_by).agg(F.sum(metric.name).alias(metric.name))
+            earlier = earlier.groupBy(shown("_then").alias("_then"), *[f"_then_{g}" for g in group_by]).agg(F.sum("_before").alias("_before"))
         same = F.col(TIME) == F.col("_then")
         for name in group_by:
             same = same & F.col(name).eqNullSafe(F.col(f"_then_{name}"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tillhouse.operators import sales
 from tillhouse.plans import quality
 from tillhouse.plans.charts import CHARTS, Chart, chart_query, headline_kpis, heatmap
-from tillhouse.plans.metrics import METRICS, MEASURES, MetricLayer
+from tillhouse.plans.metrics import MARTS, MEASURES, METRICS, MetricLayer
 from tillhouse.plans.registry import MODELS, Params
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.session import configure, shared_folder
@@ -108,15 +108,38 @@ METRIC_SLICES: dict[str, tuple[list[str], list[str], str | None]] = {
     "k06_sales_and_shrink_by_location_week": (["total_revenue", "shrink_value"], ["location_name"], "week"),
     "k06_margin_by_category_all_time": (["gross_margin_pct", "net_revenue"], ["category"], None),
 }
-SERIES_SLICES: dict[str, tuple[str, list[str]]] = {
-    **{f"k03_{m.name}": (m.name, []) for m in METRICS.values() if m.kind == "to_date"},
-    "k03_ytd_revenue_by_state": ("ytd_revenue", ["state"]),
-    **{f"k04_{m.name}": (m.name, []) for m in METRICS.values() if m.kind == "offset"},
-    "k04_revenue_wow_growth_by_state": ("revenue_wow_growth", ["state"]),
+SERIES_SLICES: dict[str, tuple[str, list[str], str]] = {
+    **{f"k03_{m.name}": (m.name, [], "day") for m in METRICS.values() if m.kind == "to_date"},
+    "k03_ytd_revenue_by_state": ("ytd_revenue", ["state"], "day"),
+    "k03_ytd_revenue_by_month": ("ytd_revenue", [], "month"),
+    "k03_ytd_revenue_by_state_quarter": ("ytd_revenue", ["state"], "quarter"),
+    **{f"k04_{m.name}": (m.name, [], "day") for m in METRICS.values() if m.kind == "offset"},
+    "k04_revenue_wow_growth_by_state": ("revenue_wow_growth", ["state"], "day"),
+    "k04_revenue_wow_growth_by_week": ("revenue_wow_growth", [], "week"),
+    "k04_revenue_wow_growth_by_state_month": ("revenue_wow_growth", ["state"], "month"),
 }
-MEASURE_SLICES: dict[str, tuple[list[str], list[str], str | None]] = {
-    "k05_complete_pairs_by_day": (["complete_pairs", "attendance_summary_net_hours_worked"], [], "day"),
-    "k05_load_flags_by_status_month": (["has_departed", "has_arrived", "is_on_time"], ["status"], "month"),
+
+
+def measures_by_mart() -> dict[str, list[str]]:
+    groups: dict[str, list[str]] = {}
+    for measure in MEASURES.values():
+        groups.setdefault(measure.mart, []).append(measure.name)
+    return groups
+
+
+def _finest(mart: str) -> str | None:
+    return next(iter(MARTS[mart].time_columns.values()), None)
+
+
+# key: measures, group by, grain, time column (the mart's first if none is named)
+MEASURE_SLICES: dict[str, tuple[list[str], list[str], str | None, str | None]] = {
+    "k05_complete_pairs_by_day": (["complete_pairs", "attendance_summary_net_hours_worked"], [], "day", None),
+    "k05_load_flags_by_status_month": (["has_departed", "has_arrived", "is_on_time"], ["status"], "month", None),
+    **{
+        f"k05_measures_{mart.removeprefix('mart_')}": (names, [], _finest(mart), None)
+        for mart, names in measures_by_mart().items()
+    },
+    "k06_cohort_by_first_purchase_month": (measures_by_mart()["mart_loyalty_cohort"], ["loyalty_tier"], "month", "first_purchase_date"),
 }
 
 
@@ -126,16 +149,16 @@ def _metric_query(names: list[str], group_by: list[str], grain: str | None) -> Q
     )
 
 
-def _measure_query(names: list[str], group_by: list[str], grain: str | None) -> Query:
+def _measure_query(names: list[str], group_by: list[str], grain: str | None, time_column: str | None) -> Query:
     return lambda spark, directory: comparable(
-        MetricLayer(stored(spark, directory)).measures(names, group_by, grain), *names
+        MetricLayer(stored(spark, directory)).measures(names, group_by, grain, time_column), *names
     )
 
 
 def metric_queries() -> dict[str, Query]:
     return {
         **{key: _metric_query(*spec) for key, spec in METRIC_SLICES.items()},
-        **{key: _metric_query([name], groups, "day") for key, (name, groups) in SERIES_SLICES.items()},
+        **{key: _metric_query([name], groups, grain) for key, (name, groups, grain) in SERIES_SLICES.items()},
         **{key: _measure_query(*spec) for key, spec in MEASURE_SLICES.items()},
     }
 

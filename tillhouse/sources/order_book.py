@@ -384,12 +384,21 @@ class OrderBookSource:
             F.col("transaction_dt").alias("created_at"),
         )
         k = F.col("k")
-        history = Window.partitionBy("member_id").orderBy("created_at", "k")
-        running = F.sum(F.col("points_earned") - F.col("points_redeemed")).over(
-            history.rowsBetween(Window.unboundedPreceding, 0)
-        )
         spent = F.when(k % 4 == 0, _div(F.col("points_earned"), 4)).otherwise(0).cast("int")
-        return earned.withColumn("points_redeemed", spent).select(
+        change = F.col("points_earned") - F.col("points_redeemed")
+        moved = earned.withColumn("points_redeemed", spent).withColumn("day", F.to_date("created_at"))
+        # A shared card may hold a large part of all events, so the balance runs over days first, then within a day.
+        before = Window.partitionBy("member_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+        opening = (
+            moved.groupBy("member_id", "day")
+            .agg(F.sum(change).alias("_moved"))
+            .select("member_id", "day", F.coalesce(F.sum("_moved").over(before), F.lit(0)).alias("_opening"))
+        )
+        today = Window.partitionBy("member_id", "day").orderBy("created_at", "k")
+        running = F.sum(change).over(today.rowsBetween(Window.unboundedPreceding, 0))
+        moved = moved.withColumn("_today", running).join(opening, ["member_id", "day"])
+        running = F.col("_opening") + F.col("_today")
+        return moved.select(
             _id("PT", k).alias("pt_id"),
             "member_id",
             "transaction_id",
