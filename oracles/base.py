@@ -147,7 +147,7 @@ FROM part
 BASE["b_transactions"] = f"""
 SELECT *, CAST(transaction_dt AS DATE) AS transaction_date, date_trunc('hour', transaction_dt) AS transaction_hour,
        dayofweek(transaction_dt) AS day_of_week, hour(transaction_dt) AS hour_of_day,
-       subtotal + tax - coupon_savings - deal_savings AS total, member_id IS NOT NULL AS has_loyalty_member,
+       CAST(subtotal + tax - coupon_savings - deal_savings + CASE WHEN k % 101 = 5 THEN 0.5 ELSE 0 END AS DECIMAL(18,4)) AS total, member_id IS NOT NULL AS has_loyalty_member,
        coupon_savings > 0 AS has_coupon, deal_savings > 0 AS has_deal
 FROM (
   SELECT o_orderkey AS k, 'T' || o_orderkey AS transaction_id, location_id, 'E' || (o_orderkey % {STAFF}) AS employee_id,

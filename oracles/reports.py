@@ -250,10 +250,18 @@ SELECT severity, count(*) AS checks, CAST(sum(failures) AS BIGINT) AS failures F
     found["d09_orphans_all"] = _orphans()
     found["d09_orphans_failing"] = f"SELECT * FROM ({_orphans()}) WHERE orphan_count > 0"
     found["d10_revenue_consistency"] = f"""
-SELECT CAST(NULL AS VARCHAR) AS check_name, CAST(NULL AS DOUBLE) AS expected, CAST(NULL AS DOUBLE) AS actual, CAST(NULL AS DOUBLE) AS difference,
-       CAST(NULL AS BIGINT) AS bad_count
-FROM (SELECT (SELECT {f8("sum(total)")} FROM b_transactions) AS raw, (SELECT {f8(exact_sum("pos_revenue"))} FROM t_mart_daily_revenue) AS mart)
-WHERE abs(raw - mart) > 1"""
+SELECT check_name, {f8("expected")} AS expected, {f8("actual")} AS actual, {f8("abs(expected - actual)")} AS difference, CAST(NULL AS BIGINT) AS bad_count
+FROM (
+  SELECT 'raw_vs_staging_total_mismatch' AS check_name, (SELECT sum(total) FROM b_transactions) AS expected,
+         (SELECT sum(total) FROM t_stg_pos_transactions) AS actual
+  UNION ALL SELECT 'mart_vs_staging_revenue_mismatch', (SELECT sum(total) FROM t_stg_pos_transactions), (SELECT sum(pos_revenue) FROM t_mart_daily_revenue))
+WHERE abs(expected - actual) > 1
+UNION ALL
+SELECT 'total_formula_mismatch', NULL, NULL, NULL, count(*) FROM b_transactions
+WHERE abs(total - (subtotal + tax - coupon_savings - deal_savings)) > 0.01 HAVING count(*) > 0
+UNION ALL
+SELECT 'line_total_formula_mismatch', NULL, NULL, NULL, count(*) FROM b_items
+WHERE abs(line_total - (unit_price - discount) * quantity) > 0.01 HAVING count(*) > 0"""
     found["d11_count_mismatches"] = """
 SELECT 'mart_daily_revenue_transaction_sum' AS entity, CAST(NULL AS VARCHAR) AS raw_count, CAST(NULL AS VARCHAR) AS staging_count,
        CAST(a AS VARCHAR) AS expected_count, CAST(b AS VARCHAR) AS actual_count, 'mart_aggregation_mismatch' AS failure_type

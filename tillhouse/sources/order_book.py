@@ -337,7 +337,9 @@ class OrderBookSource:
             _pick(PAYMENT_METHODS, key).alias("payment_method"),
             _pick(SCENARIOS, _div(key, 6)).alias("scenario_tag"),
         )
-        total = F.expr("subtotal + tax - coupon_savings - deal_savings").cast(MONEY)
+        # Some receipts state a total that is half a unit off, for the balance checks to find.
+        off = F.when(F.substring("transaction_id", 2, 20).cast("bigint") % 101 == 5, F.lit("0.5")).otherwise(F.lit("0")).cast(MONEY)
+        total = (F.expr("subtotal + tax - coupon_savings - deal_savings") + off).cast(MONEY)
         return amounts.withColumn("total", total)
 
     @cached_property
