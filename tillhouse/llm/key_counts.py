@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 8
 _ASKED = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 _TOLD = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("codes", pa.binary())])
 

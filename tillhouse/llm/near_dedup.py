@@ -10,8 +10,9 @@ similarity, and links of at least `SIMILARITY` make classes.
 Texts with the same words in the same order are one text here, represented by the smallest id: copies never meet. A text
 of which less than the threshold's share, by weight, lies in shingles that other documents hold too is similar to none
 and is not sampled. In a bucket every text is compared with one pivot, not with every other; texts that the pivot does not link and that are in
-another class so far are compared with a second pivot, and what is then still apart, pair by pair across classes. So no
-candidate pair that could join two classes is left out, while a bucket of n alike texts costs n comparisons.
+another class so far are compared with a second pivot, and what is then still apart, pair by pair across classes, but for
+pairs that their distances to the pivot rule out. So no candidate pair that could join two classes is left out, while a
+bucket of n alike texts costs n comparisons.
 
 A null text has no words. Texts without words are alike only to themselves and link to nothing: each row without words
 is a class of its own. Rows that share an id share a class. Rows with a null id get a null class and are kept. Columns
@@ -176,8 +177,8 @@ def _sequence(hashes: np.ndarray, seed: int) -> np.uint64:
     return mix(np.array([mix(hashes + mix(places + np.uint64(seed))).sum(dtype=np.uint64) + np.uint64(len(hashes))]))[0]
 
 
-def _compare(n_docs: int, width: int, similarity: float):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _compare(n_docs: int, width: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
     def compare(members: pa.Table, pivot: pa.Table) -> pa.Table:
         if not members.num_rows or not pivot.num_rows:
@@ -189,12 +190,13 @@ def _compare(n_docs: int, width: int, similarity: float):
             codes = (np.frombuffer(zlib.decompress(x.as_buffer()), np.uint8) for x in table["codes"])
             return [(k, c * idf(code, n_docs)) for k, c, code in zip(keys, counts, codes)]
 
-        (keys, weights), linked = vectors(pivot.slice(0, 1))[0], []
+        (keys, weights), found = vectors(pivot.slice(0, 1))[0], []
         for other, other_weights in vectors(members):
             at = np.minimum(np.searchsorted(keys, other), len(keys) - 1)
             shared = np.minimum(weights[at], other_weights)[keys[at] == other].sum()
-            linked.append(bool(shared >= similarity * (weights.sum() + other_weights.sum() - shared) - 1e-9))
-        return members.select(["a", "b"]).filter(pa.array(linked)).cast(schema)
+            found.append(float(shared / (weights.sum() + other_weights.sum() - shared)))
+        columns = [members["a"].combine_chunks(), members["b"].combine_chunks(), pa.array(found)]
+        return pa.Table.from_arrays(columns, schema=schema)
 
     return compare
 
@@ -232,13 +234,18 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
     # Texts that meet nobody are done; what follows is about the others.
     met = entries.join(shared, ["band", "key"]).checkpoint()
     vectors = reps.select("doc_id", "words", "codes")
-    compare = _compare(n_docs, width, similarity)
+    compare, slack = _compare(n_docs, width), 1 - similarity + 1e-9
     pairs = met.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _verified(pairs, vectors, compare).checkpoint()
+    measured = _measured(pairs, vectors, compare).checkpoint()
+    # Every text's distance to the pivots of its buckets.
+    far = measured.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("far"))
+    met = met.join(far, ["pivot", "rep"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))).checkpoint()
+    links = measured.filter(1 - F.col("similarity") <= slack).select("a", "b").checkpoint()
     for last in (False, True):
-        labels = components(links)
-        pairs = _apart(met, labels, last).join(links, ["a", "b"], "left_anti")
-        links = links.union(_verified(pairs, vectors, compare)).checkpoint()
+        pairs = _apart(met, components(links), slack, last).join(measured.select("a", "b"), ["a", "b"], "left_anti")
+        more = _measured(pairs, vectors, compare).checkpoint()
+        measured = measured.union(more)
+        links = links.union(more.filter(1 - F.col("similarity") <= slack).select("a", "b"))
     labels = components(links)
     # A row's text stands for itself, and rows that share an id link the texts they have.
     by_doc = member_of.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("label"))
@@ -254,27 +261,34 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
     )
 
 
-def _apart(met: DataFrame, labels: DataFrame, every: bool) -> DataFrame:
-    """Pairs (a < b) that share a bucket but no class yet: those with a second pivot, or every one."""
+def _apart(met: DataFrame, labels: DataFrame, slack: float, every: bool) -> DataFrame:
+    """Pairs (a < b) that share a bucket but no class yet: those with a second pivot, or every one.
+
+    1 - weighted Jaccard similarity is a metric: texts whose distances to their pivot differ by more than the greatest
+    distance of a link are not similar, and need no comparison.
+    """
     known = met.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     spread = known.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     mixed = known.join(spread, ["band", "key"])
     if every:
-        left = mixed.select("band", "key", F.col("rep").alias("a"), F.col("label").alias("la"))
-        right = mixed.select("band", "key", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        return left.join(right, ["band", "key"]).filter("a < b AND la != lb").select("a", "b").distinct()
+        left = mixed.select("band", "key", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("far").alias("fa"))
+        right = mixed.select("band", "key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("far").alias("fb"))
+        left, right = left.toDF(*left.columns), right.toDF(*right.columns)
+        same = (left["band"] == right["band"]) & (left["key"] == right["key"])
+        apart = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (F.abs(F.col("fa") - F.col("fb")) <= slack)
+        return left.join(right, same & apart).select("a", "b").distinct()
     second = mixed.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
     second = second.withColumn("pivot_label", F.coalesce("pivot_label", "pivot"))
-    lead = second.filter("label != pivot_label").groupBy("band", "key").agg(F.min(F.struct("rep", "label")).alias("lead"))
-    pairs = mixed.join(lead, ["band", "key"]).filter("label != lead.label")
+    lead = second.filter("label != pivot_label").groupBy("band", "key").agg(F.min(F.struct("rep", "label", "far")).alias("lead"))
+    pairs = mixed.join(lead, ["band", "key"]).filter((F.col("label") != F.col("lead.label")) & (F.abs(F.col("far") - F.col("lead.far")) <= slack))
     return pairs.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, vectors: DataFrame, compare) -> DataFrame:
-    """The pairs (a, b) that are similar enough. The members of a are compared in groups, each with a's vector."""
+def _measured(pairs: DataFrame, vectors: DataFrame, compare) -> DataFrame:
+    """The pairs (a, b) with their similarity. The members of a are compared in groups, each with a's vector."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     dealt = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("groups"))).select("a", "part", "b")
     members = dealt.join(vectors.withColumnRenamed("doc_id", "b"), "b")
     pivots = dealt.select("a", "part").distinct().join(vectors.withColumnRenamed("doc_id", "a"), "a").select("a", "part", "words", "codes")
     pivots = pivots.toDF("a", "part", "words", "codes")  # columns of its own, both sides being the same tables
-    return members.groupBy("a", "part").cogroup(pivots.groupBy("a", "part")).applyInArrow(compare, "a long, b long")
+    return members.groupBy("a", "part").cogroup(pivots.groupBy("a", "part")).applyInArrow(compare, "a long, b long, similarity double")
