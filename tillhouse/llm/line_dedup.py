@@ -34,9 +34,9 @@ from tillhouse.session import shared_folder
 
 TAU = 2
 MIN_CHARS = 20
-#: Pairs sketched at once, and pairs verified at once.
+#: Pairs sketched at once, and characters of pairs verified at once.
 PAIRS = 1_000_000
-VERIFY = 4096
+VERIFY_CHARS = 1_000_000
 
 
 class Lines:
@@ -240,8 +240,15 @@ def within(left: list[str], right: list[str], tau: int) -> np.ndarray:
 def _verify(tau: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, VERIFY):
-                part = batch.slice(a, VERIFY)
+            # Pairs of like length together, so that padding and the arrays' size stay small.
+            size = pc.utf8_length(batch["one"]).to_numpy()
+            order = np.argsort(size, kind="stable")
+            at = 0
+            while at < len(order):
+                # The longest of the first n is the last.
+                n = max(1, int(np.searchsorted(size[order[at:]] * np.arange(1, len(order) - at + 1), VERIFY_CHARS)))
+                part = batch.take(pa.array(order[at : at + n]))
+                at += n
                 near = within(part["one"].to_pylist(), part["two"].to_pylist(), tau)
                 yield part.select(["a", "b"]).filter(pa.array(near))
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text makes a chunk of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 _BASE = 0x9E3779B97F4A7C15 | 5
 _POWERS: dict[int, np.ndarray] = {}
 
