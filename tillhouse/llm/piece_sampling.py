@@ -43,8 +43,8 @@ from tillhouse.llm.words import SpanHashes, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 TEMPERATURE = 1.0
-KEPT_WORDS = 200_000
-BATCH_BYTES = 1_000_000
+KEPT_WORDS = 120_000
+BATCH_BYTES = 500_000
 #: Log-probabilities are added in 2^-40.
 UNITS = 2.0**40
 SPACE = "▁"
@@ -103,44 +103,66 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     return Decoder(vocabulary)(np.array(ids, np.int64), np.array([0, len(ids)]))[0].decode()
 
 
+class Numbers(dict):
+    """Numbers for words in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.listed: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.listed)
+        self.listed.append(word)
+        return n
+
+
 class Lattices:
     """The lattices of words met so far. An edge belongs to the node it ends at; a node's likely edges come first."""
 
     def __init__(self, vocabulary: Vocabulary, temperature: float):
         self.vocabulary, self.temperature = vocabulary, temperature
-        lengths = np.array([len(p) for p in vocabulary.pieces])
-        hashes = np.array([_piece_hash(p) for p in vocabulary.pieces], np.uint64)
-        self.tables = {}
-        for size in np.unique(lengths[vocabulary.usable]):
-            ids = np.flatnonzero(vocabulary.usable & (lengths == size))
-            order = np.argsort(hashes[ids])
-            self.tables[int(size)] = hashes[ids][order], ids[order]
+        ids = np.flatnonzero(vocabulary.usable)
+        lengths = np.array([len(vocabulary.pieces[i]) for i in ids])
+        begins = np.cumsum(lengths) - lengths
+        span = SpanHashes(np.frombuffer("".join(vocabulary.pieces[i] for i in ids).encode("utf-32-le"), np.uint32))
+        #: For each length the hashes of the beginnings of pieces, and the piece that is the beginning itself, or -1.
+        self.tables = []
+        for size in range(1, int(lengths.max()) + 1):
+            long = lengths >= size
+            found, place = np.unique(span(begins[long], begins[long] + size), return_inverse=True)
+            whole = np.full(len(found), -1)
+            whole[place[lengths[long] == size]] = ids[lengths == size]
+            self.tables.append((found, whole))
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         #: Of each word the first and the last node; of each node its first edge; of each edge the start and end node,
         #: the piece (or -1 - code point, for a character in bytes), the log-share and the cumulative share at its node.
-        self.last = np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-        self.root = np.zeros(0, np.int64)
-        self.upto = np.zeros(0)
-        self.end = np.zeros(0, np.int64)
-        self.start = np.zeros(0, np.int64)
-        self.piece = np.zeros(0, np.int64)
-        self.share = np.zeros(0)
+        whole = dict.fromkeys(("root", "last", "first", "start", "end", "piece"), np.int32)
+        self._room = {name: np.zeros(1024, kind) for name, kind in (whole | {"upto": np.float32, "share": np.float64}).items()}
+        for name, room in self._room.items():
+            setattr(self, name, room[:0])
         self.nodes = 0
 
+    def _extend(self, **more: np.ndarray) -> None:
+        """Adds to the arrays; their room grows by half, so that adding costs what is added."""
+        for name, values in more.items():
+            size = len(getattr(self, name))
+            if size + len(values) > len(self._room[name]):
+                room = np.zeros((size + len(values)) * 3 // 2, self._room[name].dtype)
+                room[:size] = getattr(self, name)
+                self._room[name] = room
+            self._room[name][size : size + len(values)] = values
+            setattr(self, name, self._room[name][: size + len(values)])
+
     def numbers(self, words: list[str]) -> np.ndarray:
         if len(self.number) > KEPT_WORDS:
             self.clear()
-        number = self.number
-        missing = [w for w in dict.fromkeys(words) if w not in number]
-        if missing:
-            self._add(missing)
-            for w in missing:
-                number[w] = len(number)
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        known = len(self.number)
+        out = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if len(self.number) > known:
+            self._add(self.number.listed[known:])
+        return out
 
     def _add(self, words: list[str]) -> None:
         """Lattices of new words, all at once: edges by length, then forward sums place by place."""
@@ -153,19 +175,21 @@ class Lattices:
         span = SpanHashes(spaced)
         begin, length, piece, score = [], [], [], []
         single = np.zeros(len(points), bool)
-        for size, (hashes, ids) in self.tables.items():
-            at = np.flatnonzero(left >= size)
-            if not len(at):
-                continue
+        at = np.arange(len(points))
+        for size, (hashes, whole) in enumerate(self.tables, 1):
+            # Only places where some piece goes on.
+            at = at[left[at] >= size]
             found = span(at, at + size)
             place = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-            hit = hashes[place] == found
-            begin.append(at[hit])
-            length.append(np.full(int(hit.sum()), size))
-            piece.append(ids[place[hit]])
-            score.append(self.vocabulary.scores[ids[place[hit]]])
+            on = hashes[place] == found
+            at, ids = at[on], whole[place[on]]
+            is_piece = ids >= 0
+            begin.append(at[is_piece])
+            piece.append(ids[is_piece])
+            length.append(np.full(len(piece[-1]), size))
+            score.append(self.vocabulary.scores[piece[-1]])
             if size == 1:
-                single[at[hit]] = True
+                single[begin[-1]] = True
         other = np.flatnonzero(~single)
         n_bytes = 1 + (points[other] > 0x7F) + (points[other] > 0x7FF) + (points[other] > 0xFFFF).astype(np.int64)
         begin.append(other)
@@ -207,14 +231,16 @@ class Lattices:
             so_far[more] += np.exp(share[heads[more] + i])
             upto[heads[more] + i] = so_far[more]
         upto[heads + sizes_in - 1] = 1.0
-        self.first = np.concatenate([self.first, first[:-1] + len(self.start)])
-        self.upto = np.concatenate([self.upto, upto])
-        self.end = np.concatenate([self.end, end + self.nodes])
-        self.start = np.concatenate([self.start, node + self.nodes])
-        self.piece = np.concatenate([self.piece, piece])
-        self.share = np.concatenate([self.share, np.minimum(share, 0.0)])
-        self.last = np.concatenate([self.last, roots + sizes + self.nodes])
-        self.root = np.concatenate([self.root, roots + self.nodes])
+        self._extend(
+            first=first[:-1] + len(self.start),
+            start=node + self.nodes,
+            end=end + self.nodes,
+            piece=piece,
+            upto=upto,
+            share=np.minimum(share, 0.0),
+            root=roots + self.nodes,
+            last=roots + sizes + self.nodes,
+        )
         self.nodes += n_nodes
 
     def edge(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -227,11 +253,6 @@ class Lattices:
         return edge
 
 
-def _piece_hash(piece: str) -> np.uint64:
-    points = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
-    return SpanHashes(points)(np.array([0]), np.array([len(points)]))[0]
-
-
 def _runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     before = np.cumsum(length) - length
     return np.repeat(start - before, length) + np.arange(int(length.sum()))
@@ -423,7 +444,8 @@ def _branch(lattices, paths, popped, words, row_of_word, keys, place, sample, n)
 
 
 def _next_first(lattices: Lattices, node: np.ndarray) -> np.ndarray:
-    return np.append(lattices.first, len(lattices.start))[node + 1]
+    last = node + 1 == len(lattices.first)
+    return np.where(last, len(lattices.start), lattices.first[np.where(last, 0, node + 1)])
 
 
 def _ids(lattices: Lattices, path: Paths) -> tuple[np.ndarray, np.ndarray]:
