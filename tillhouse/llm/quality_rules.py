@@ -41,20 +41,27 @@ def _pairs(values: Column, join) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), F.size(following)), following, join)
 
 
+def _bucket(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _pair_hashes(hashes: Column) -> Column:
+    return _pairs(hashes, lambda a, b: F.xxhash64(a, b))
+
+
 def _buckets(hashes: Column) -> Column:
     """The buckets of all words and of all neighbouring pairs."""
-    bucket = lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    pairs = _pairs(hashes, lambda a, b: bucket(F.xxhash64(a, b)))
-    return F.concat(F.transform(hashes, bucket), pairs)
+    return F.concat(F.transform(hashes, _bucket), F.transform(_pair_hashes(hashes), _bucket))
 
 
 def _word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _repeat_words(hashes: Column) -> Column:
+def _repeat_words(hashes: Column, pairs: Column) -> Column:
     """Words covered by a three-word window that occurs twice or more in the text."""
-    triples = _pairs(_pairs(hashes, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda x, y: F.xxhash64(x["a"], x["b"], y["b"]))
+    third = _shifted(hashes, 2)
+    triples = F.zip_with(F.slice(pairs, F.lit(1), F.size(third)), third, lambda p, h: F.xxhash64(p, h))
 
     def covered(keys: Column) -> Column:
         placed = F.sort_array(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
@@ -107,11 +114,12 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limi
     text = F.coalesce("row.text", F.lit(""))
 
     def measured(hashes: Column) -> Column:
-        score = let(
-            _buckets(hashes),
-            lambda b: F.aggregate(b, F.lit(0.0), lambda total, x: total + F.get(F.col("_weights"), x)) / F.greatest(F.size(b), F.lit(1)),
-        )
-        return F.struct(F.size(hashes).cast("long").alias("n_words"), _repeat_words(hashes).cast("long").alias("n_repeat_words"), score.alias("score"))
+        return let(_pair_hashes(hashes), lambda pairs: measures(hashes, pairs))
+
+    def measures(hashes: Column, pairs: Column) -> Column:
+        summed = lambda keys: F.aggregate(keys, F.lit(0.0), lambda total, k: total + F.get(F.col("_weights"), _bucket(k)))
+        score = (summed(hashes) + summed(pairs)) / F.greatest(F.size(hashes) + F.size(pairs), F.lit(1))
+        return F.struct(F.size(hashes).cast("long").alias("n_words"), _repeat_words(hashes, pairs).cast("long").alias("n_repeat_words"), score.alias("score"))
 
     inside = F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long")
     symbols = (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
