@@ -143,6 +143,21 @@ def test_near_dedup_classes(spark, documents, prose):
     assert all(x.kept == (x.doc_id == x.class_id) for x in result if x.doc_id is not None)
 
 
+def test_near_copies_of_a_mass_copied_text(spark, documents, prose):
+    """A few words changed in a text that most documents share, exactly or nearly, make no class of their own."""
+    r = random.Random(17)
+    base = prose(r, 150, 5000)
+    rows = [(i, " ".join(base)) for i in range(200)]
+    for i in range(200):
+        text = list(base)
+        for _ in range(1 + i % 2):
+            text[r.randrange(150)] = f"new{r.random()}"
+        rows.append((1000 + i, " ".join(text)))
+    rows += [(2000 + i, " ".join(prose(r, 150, 5000))) for i in range(200)]
+    found = {x.doc_id: x.class_id for x in near_dedup.classes(documents(rows)).collect()}
+    assert found == {d: 0 if d < 2000 else d for d, _ in rows}
+
+
 def test_sampling_follows_similarity():
     """Draws of two weighted sets agree with the probability of their weighted Jaccard similarity."""
     r = np.random.default_rng(3)
