@@ -77,6 +77,28 @@ def test_mixed_rows(table):
         assert all(y.n_chars == len(y.text) for y in mine)
 
 
+def test_mixed_rows_without_an_id_of_their_own(documents):
+    """Null and repeated ids: each row is taken by its own count, and no source is above its target."""
+    r = random.Random(9)
+    text = lambda name: " ".join(f"{name}-{i}" for i in range(r.randrange(1, 90)))
+    rows = [(None, text(f"n{k}"), "ab"[k % 2]) for k in range(30)] + [(7, text(f"r{k}"), "a") for k in range(30)] + [(k, text(f"u{k}"), "b") for k in range(100, 130)]
+    frame = documents(rows)
+    planned, out = {}, {}
+    for x in mixing.mix(frame, 64).documents.collect():
+        planned.setdefault(x.source, []).append((x.doc_id, x.taken))
+    size = {t.split("-")[0]: len(t.split()) for _, t, _ in rows}
+    owner = {t.split("-")[0]: (d, s) for d, t, s in rows}
+    for x in mixing.mixed(frame, 64).collect():
+        got = x.text.split()
+        name = got[0].split("-")[0]
+        assert owner[name] == (x.doc_id, x.source) and got == [f"{name}-{i}" for i in range(len(got))]
+        out.setdefault(name, []).append(len(got))
+    assert all(sum(n) <= 2 * size[name] for name, n in out.items())
+    for source, plan in planned.items():
+        taken = [(owner[k][0], sum(n)) for k, n in out.items() if owner[k][1] == source]
+        assert sorted(map(repr, taken)) == sorted(repr(x) for x in plan if x[1])
+
+
 def test_no_rows(table):
     frame, _ = table
     assert mixing.mix(frame.filter("doc_id < 0")).documents.collect() == []

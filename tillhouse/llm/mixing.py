@@ -20,6 +20,7 @@ rows; slots are generated and ranked in pieces of 2^20.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -129,7 +130,8 @@ def _lay_out(counted: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> Mix:
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, keys: tuple[str, ...] = ()) -> Mix:
+    """`keys`: columns that are passed on to `documents` and order rows of equal id and size."""
     shared_folder(docs.sparkSession)
     rows = (
         docs.select(
@@ -137,6 +139,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> Mix:
             F.col("source").isNull().alias("s_null"),
             F.coalesce(F.col("source").cast("string"), F.lit("")).alias("s"),
             word_count(F.col("text")).alias("size"),
+            *keys,
         )
         .withColumn("_md5", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
         .withColumn("_piece", F.substring("_md5", 1, 3))
@@ -150,7 +153,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> Mix:
     takes = slots.groupBy(*_SOURCE, "block").agg(
         F.count(F.when(whole, 1)).alias("rounds"), F.coalesce(F.max(F.when(~whole, F.col("take"))), F.lit(0)).alias("part")
     )
-    placed = _running(rows, "_piece", "size", ["_md5", "doc_id", "size"], "start")
+    placed = _running(rows, "_piece", "size", ["_md5", "doc_id", "size", *keys], "start")
     start, end = F.greatest("start", F.col("block") * block_words), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     part_end = F.least("end_in", F.col("block") * block_words + F.col("part"))
     taken = (
@@ -170,6 +173,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> Mix:
         "target",
         F.when(F.col("size") > 0, F.coalesce("_taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
         F.when(F.col("s_null"), F.lit(None)).otherwise(F.col("s")).alias("source"),
+        *keys,
     )
     return Mix(documents, slots)
 
@@ -177,11 +181,17 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> Mix:
 def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of the mix: a document once for each time it is taken whole, and its first words where it is taken in part.
 
-    `n_chars` is set for cut texts. A document's id has to be unique, as in `documents`.
+    `n_chars` is set for cut texts. Every row has its own count, also rows with a null id or with one that others share.
     """
-    counts = mix(docs, block_words).documents.filter("taken > 0").select("doc_id", "taken", "size")
-    # The input's own columns stay in one struct, whatever their names.
-    rows = docs.select(F.struct("*").alias("row")).join(counts, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
+    # The input's own columns stay in one struct, whatever their names. Rows and their keys are written once, so that the
+    # counts and the rows they are joined to come from the same numbering.
+    path = f"{shared_folder(docs.sparkSession)}/mix-{uuid.uuid4().hex}"
+    named = docs.select(F.struct("*").alias("row")).withColumns({"_hash": F.xxhash64("row.text"), "_row": F.monotonically_increasing_id()})
+    named.write.parquet(path)
+    named = docs.sparkSession.read.schema(named.schema).parquet(path)
+    sized = named.select("row.doc_id", "row.text", "row.source", "_hash", "_row")
+    counts = mix(sized, block_words, ("_hash", "_row")).documents.filter("taken > 0").select("_row", "taken", "size")
+    rows = named.select("row", "_row").join(counts, "_row")
     rows = rows.withColumn("round", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
     left = F.col("taken") - (F.col("round") - 1) * F.col("size")
     text = F.when(left < F.col("size"), F.concat_ws(" ", F.slice(words(F.col("row.text")), F.lit(1), left.cast("int")))).otherwise(F.col("row.text"))
