@@ -126,3 +126,11 @@ def test_urls_as_of(spark):
     assert found == expected
     assert url_filters.filter_urls(captures.filter("page_id > 99"), events).collect() == []
     assert not any(r.blocked for r in url_filters.filter_urls(captures, events.filter("entry = 'none'")).collect())
+
+
+def test_urls_with_capitals_in_their_path(spark):
+    events = spark.createDataFrame([("Example.ORG/News/", "spam", day(0), "add")], "entry string, category string, day date, action string")
+    urls = ["http://example.org/News/a", "http://EXAMPLE.org/News/Sport/", "http://example.org/news/a", "http://example.org/"]
+    captures = spark.createDataFrame([(i, u, day(1)) for i, u in enumerate(urls)], "page_id long, url string, fetched_on date")
+    found = {r.page_id: (r.blocked, r.entry) for r in url_filters.filter_urls(captures, events).collect()}
+    assert found == {0: (True, "example.org/News/"), 1: (True, "example.org/News/"), 2: (False, None), 3: (False, None)}

@@ -9,8 +9,8 @@ its host, every parent of it, and every directory of its path. It is blocked if
 entry is reported, then the first category by name.
 
 On one day a `remove` outweighs an `add`; further adds of an active entry change nothing; an entry that is never removed
-stays. Rows of the log with a null entry, day or action have no effect, a null category is a category. Entries and hosts
-are lower case; scheme, user, port, query and fragment don't matter. A null or unreadable URL, or a null day, is not
+stays. Rows of the log with a null entry, day or action have no effect, a null category is a category. Hosts are compared
+in lower case, also an entry's, paths as they are; scheme, user, port, query and fragment don't matter. A null or unreadable URL, or a null day, is not
 blocked. Repeated captures keep a row each. Captures meet the list as distinct (URL, day), and first as distinct
 (candidate, day): a common host is looked up once a day, however many captures it has. Empty tables give empty results
 or nothing blocked. Other columns of the captures stay.
@@ -40,11 +40,16 @@ def candidates(url: Column) -> Column:
     return F.when(host(url) == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(parents, paths)))
 
 
+def _entry(entry: Column) -> Column:
+    """The entry with its host in lower case."""
+    return F.concat(F.lower(F.substring_index(entry, "/", 1)), F.regexp_extract(entry, r"(?s)^[^/]*(.*)$", 1))
+
+
 def intervals(events: DataFrame) -> DataFrame:
     """entry, category, from_day, to_day (null: still active) of a log (entry, category, day, action)."""
     per_day = (
         events.filter(F.col("entry").isNotNull() & F.col("day").isNotNull() & F.col("action").isin("add", "remove"))
-        .groupBy(F.lower("entry").alias("entry"), "category", F.col("day").cast("date").alias("day"))
+        .groupBy(_entry(F.col("entry")).alias("entry"), "category", F.col("day").cast("date").alias("day"))
         .agg(F.max("action").alias("action"))
     )
     # One row per entry and day.
