@@ -99,6 +99,12 @@ def test_line_dedup_brute_force(spark, documents):
     assert sum(x.n_removed for x in result.values()) == sum(len(p) for p in seen.values()) - len(first)
 
 
+def test_line_dedup_takes_its_length(spark, documents):
+    rows = [(1, "eight ch\nfour"), (2, "eight cx\nfoul")]
+    found = {x.doc_id: [y.kept for y in x.lines] for x in line_dedup.dedup_lines(documents(rows), min_chars=5).collect()}
+    assert found == {1: [True, True], 2: [False, True]}
+
+
 def weighted(rows):
     def shingles(text):
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")

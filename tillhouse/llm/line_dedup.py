@@ -263,14 +263,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "doc_id", "line_no", "chars"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for chunk in chunks(batch, "text"):
-            lines = Lines(chunk)
-            _, first = np.unique(lines.id, return_index=True)
-            first = first[lines.size[first] >= MIN_CHARS]
-            texts = [lines.points[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[first].tolist(), lines.end[first].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(lines.id[first].view(np.int64)), pa.array(texts, pa.string())], ["id", "line"])
+def _texts(min_chars: int):
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch, "text"):
+                lines = Lines(chunk)
+                _, first = np.unique(lines.id, return_index=True)
+                first = first[lines.size[first] >= min_chars]
+                found = [lines.points[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[first].tolist(), lines.end[first].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(lines.id[first].view(np.int64)), pa.array(found, pa.string())], ["id", "line"])
+
+    return texts
 
 
 def links(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -279,7 +282,7 @@ def links(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFr
     filed = docs.mapInArrow(_file(parts, tau, min_chars), "part int, keys binary, ids binary, roles binary, one binary, two binary")
     pairs = filed.groupBy("part").applyInArrow(_meet(tau), "a long, b long").distinct().checkpoint()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    lines = docs.mapInArrow(_texts, "id long, line string").join(wanted, "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).checkpoint()
+    lines = docs.mapInArrow(_texts(min_chars), "id long, line string").join(wanted, "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).checkpoint()
     one, two = lines.toDF("a", "one"), lines.toDF("b", "two")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_verify(tau), "a long, b long").checkpoint()
 
