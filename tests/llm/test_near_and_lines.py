@@ -99,6 +99,18 @@ def test_line_dedup_brute_force(spark, documents):
     assert sum(x.n_removed for x in result.values()) == sum(len(p) for p in seen.values()) - len(first)
 
 
+def test_line_dedup_links_short_lines(spark, documents):
+    r = random.Random(16)
+    lines = sorted({"".join(r.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(n)) for n in (1, 2, 3, 4, 5, 7, 10, 15, 19) for _ in range(8)})
+    lines = sorted({*lines, *(changed(r, x, 1 + i % 3, "xyé") for i, x in enumerate(lines))} - {""})
+    lines = [x for x in lines if x.strip()]
+    close = [(i, j) for j, b in enumerate(lines) for i, a in enumerate(lines[:j]) if distance(a, b) <= 2]
+    label = smallest(close)
+    found = {x.doc_id: x.lines[0] for x in line_dedup.dedup_lines(documents(list(enumerate(lines)))).collect()}
+    assert len(close) > 50
+    assert {i: (x.class_doc, x.links) for i, x in found.items()} == {i: (label.get(i, i), sum(i in x for x in close)) for i in range(len(lines))}
+
+
 def test_line_dedup_takes_its_length(spark, documents):
     rows = [(1, "eight ch\nfour"), (2, "eight cx\nfoul")]
     found = {x.doc_id: [y.kept for y in x.lines] for x in line_dedup.dedup_lines(documents(rows), min_chars=5).collect()}

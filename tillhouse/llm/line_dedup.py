@@ -7,8 +7,9 @@ from its own down to TAU less; only places that a match of the remaining segment
 verified by a bit-parallel edit distance, banded to 2 TAU + 1 diagonals. Links make classes; of a class the first line
 stays, by smallest doc_id, then line number.
 
-Equal lines are one line here, known by 64-bit hashes; links are between different lines, and no link is lost. A line of
-fewer than `MIN_CHARS` code points takes part by equality only, since two edits can make any short line of any other.
+Equal lines are one line here, known by 64-bit hashes; links are between different lines, and no link is lost, whatever
+the length. Lines of at most `TAU` code points have an empty segment, which every line that is long enough holds: there
+all distinct lines of like length are compared, and they do link, two edits making any of them of any other.
 Two sketches, of single characters and of neighbouring pairs, drop candidates before they leave their bucket: an edit
 changes at most two bits of the first and four of the second, so nothing within TAU edits is dropped.
 
@@ -33,7 +34,8 @@ from tillhouse.llm.words import SpanHashes, chunks, mix, space_table
 from tillhouse.session import shared_folder
 
 TAU = 2
-MIN_CHARS = 20
+#: Lines with fewer code points take part by equality only. No line with a word has fewer than one.
+MIN_CHARS = 1
 #: Pairs sketched at once, and characters of pairs verified at once.
 PAIRS = 1_000_000
 VERIFY_CHARS = 1_000_000
