@@ -9,10 +9,12 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tillhouse.llm import exact_dedup, mixing, near_dedup, piece_sampling, quality_rules  # noqa: E402
 from tillhouse.session import shared_folder  # noqa: E402
@@ -21,11 +23,21 @@ from tillhouse.session import shared_folder  # noqa: E402
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The documents whose verdict is kept, one row for each id; a null id stays as it is."""
-    ids = verdicts.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.filter("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that `judge` keeps, each by its own verdict, whatever its id.
+
+    Rows are judged under a key of their own, ascending by id (null last) and then by text, so that the rules for ties
+    hold. Rows and keys are written once: all that read them see the same numbering.
+    """
+    spark = docs.sparkSession
+    order = [F.col("row.doc_id").asc_nulls_last(), F.xxhash64("row.text")]
+    rows = docs.select(F.struct("*").alias("row")).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    path = f"{shared_folder(spark)}/keyed-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    kept = judge(rows.select(F.col("_row").alias("doc_id"), "row.text")).filter("kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +48,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return _kept(docs, exact_dedup.exact_dedup(docs))
+    return _kept(docs, exact_dedup.exact_dedup)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    return _kept(docs, near_dedup.classes(docs))
+    return _kept(docs, near_dedup.classes)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

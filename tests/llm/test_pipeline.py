@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import corpus_pipeline
 from tests.conftest import DATA
 from tillhouse.llm import exact_dedup, mixing, near_dedup, piece_sampling, quality_rules
@@ -36,6 +39,21 @@ def test_stages(spark, tmp_path):
         assert piece_sampling.decode(vocabulary, r.ids) in texts[r.doc_id]
 
 
+def test_rows_are_judged_one_by_one(spark, documents, prose):
+    """Rows with a null id or one that others share go or stay by their own verdict."""
+    r = random.Random(18)
+    rows = [(None, "copy of x"), (None, "copy of x"), (5, "a text"), (5, "b text"), (1, "b text"), (6, "a text"), (None, "alone")]
+    found = corpus_pipeline.exact(spark, documents(rows), DATA).select("doc_id", "text").collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, [(None, "copy of x"), (5, "a text"), (1, "b text"), (None, "alone")]))
+
+    one, two, *others = (prose(r, 150, 5000) for _ in range(5))
+    changed = lambda text: [*text[:70], "new", *text[71:]]
+    rows = [(None, one), (None, changed(one)), (7, two), (7, changed(two)), (8, others[0]), (9, others[1]), (9, others[2])]
+    found = corpus_pipeline.near(spark, documents([(d, " ".join(t)) for d, t in rows]), DATA).collect()
+    assert Counter(x.doc_id for x in found) == {None: 1, 7: 1, 8: 1, 9: 2}
+    assert {" ".join(t) for t in others} <= {x.text for x in found}
+
+
 def test_registered_run(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near-dedup", "source mixing", "segmentation"]
     assert corpus_pipeline.run(spark, DATA).count() > 0
