@@ -3,7 +3,8 @@
 A text's shingles are its runs of five words (a shorter text is one shingle). A shingle weighs its count in the text
 times ln(1 + N / df), df being the number of documents that hold it, over all documents, in steps of a quarter octave,
 but at least ln(1 + N) / `IDF_RATIO`: however many copies a text has, what a copy changed outweighs what it kept by that
-factor at most. With a factor of 2, texts of plain Jaccard similarity 8/9 or more are always similar enough.
+factor at most. With a factor of 2, texts of unweighted Jaccard similarity 8/9 or more, repeats
+counted, are always similar enough.
 Consistent weighted sampling draws one (shingle, level) per hash function, equal for two texts with the probability of
 their weighted Jaccard similarity; `BANDS` bands of `ROWS` draws make the buckets in which candidates meet. A pair at the
 threshold 0.8 shares no band with a probability of 0.2 %. Candidates are verified by their exact weighted Jaccard
