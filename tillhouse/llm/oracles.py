@@ -99,6 +99,102 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM p
 """
 
+# CRC-32 of ASCII or UTF-8 bytes: a table of 256 entries from the polynomial, then one step per byte.
+_CRC_TABLE = "SELECT list(v ORDER BY b) AS crc FROM (SELECT b, list_reduce([b, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS b))"
+
+
+def _crc32(code_points: str) -> str:
+    """Of a list of byte values, with `crc` in scope."""
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {code_points}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_BYTES = "list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _tree(prefix: str, levels: int) -> str:
+    """Levels 1 to `levels` of 16-ary trees above {prefix}0(tree, idx, digest): each node, and the run it was made of."""
+    made = []
+    for k in range(1, levels + 1):
+        made.append(
+            f"{prefix}r{k} AS (SELECT tree, idx // 16 AS idx, list(digest ORDER BY idx) AS run FROM"
+            f" (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {prefix}{k - 1}) WHERE n > 1 GROUP BY tree, idx // 16)"
+        )
+        made.append(f"{prefix}{k} AS (SELECT tree, idx, sha256(array_to_string(run, '')) AS digest FROM {prefix}r{k})")
+    return ",\n".join(made)
+
+
+def _steps(prefix: str, levels: int, start: str, rows: str) -> str:
+    """Walks (id, tree, idx, h, proof) of `start` up a tree: h takes in its siblings, the proof lists them."""
+    made, before = [], start
+    for k in range(1, levels + 1):
+        place = "CAST(b.idx % 16 AS INT)"
+        made.append(
+            f"{rows}{k} AS (SELECT b.id, b.tree, b.idx // 16 AS idx,"
+            f" CASE WHEN r.run IS NULL THEN b.h ELSE sha256(array_to_string(list_concat(run[1:{place}], [b.h], run[{place} + 2:]), '')) END AS h,"
+            f" b.proof || CASE WHEN r.run IS NULL THEN '' ELSE array_to_string(list_concat(run[1:{place}], run[{place} + 2:]), '') END AS proof"
+            f" FROM {before} b LEFT JOIN {prefix}r{k} r ON r.tree = b.tree AND r.idx = b.idx // 16)"
+        )
+        before = f"{rows}{k}"
+    return ",\n".join(made)
+
+
+def _roots(prefix: str, levels: int) -> str:
+    """The one node of each tree's last level."""
+    return " UNION ALL ".join(
+        f"SELECT tree, any_value(digest) AS digest FROM {prefix}{k} GROUP BY tree HAVING count(*) = 1" for k in range(levels + 1)
+    )
+
+
+#: Levels enough for 16 ** 5 documents a source and as many sources; those above a tree's root change nothing.
+_LEVELS = 5
+
+OP12 = f"""
+WITH k AS ({_CRC_TABLE}),
+d AS (
+  SELECT row_number() OVER (ORDER BY source NULLS FIRST, doc_id, {_leaf('text')}) AS id, doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN {_crc32("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 5 = 0
+              THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents, k),
+p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY id) - 1 AS idx FROM d),
+t0 AS (SELECT tree, idx, leaf AS digest FROM p),
+{_tree("t", _LEVELS)},
+subroots AS (SELECT tree, min(digest) AS digest FROM ({_roots("t", _LEVELS)}) GROUP BY tree),
+u0 AS (SELECT 0 AS tree, tree AS idx, digest FROM subroots),
+{_tree("u", _LEVELS)},
+roots AS (SELECT min(digest) AS root FROM ({_roots("u", _LEVELS)})),
+b0 AS (SELECT id, tree, idx, coalesce(changed, leaf) AS h, '' AS proof FROM p),
+{_steps("t", _LEVELS, "b0", "b")},
+c0 AS (SELECT b{_LEVELS}.id, 0 AS tree, p.tree AS idx, h, proof FROM b{_LEVELS} JOIN p USING (id)),
+{_steps("u", _LEVELS, "c0", "c")}
+SELECT p.doc_id, p.leaf, subroots.digest AS subroot, root, sha256(c{_LEVELS}.proof) AS proof_sha256,
+       c{_LEVELS}.h AS folded_root, c{_LEVELS}.h = root AS verified
+FROM p JOIN subroots USING (tree) JOIN c{_LEVELS} USING (id), roots
+"""
+
+OP13 = f"""
+WITH k AS ({_CRC_TABLE}),
+d AS (
+  SELECT doc_id, source, CAST(octet_length(encode(t)) + 16 AS BIGINT) AS size, {_crc32(_BYTES)} AS text_crc32, md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw,
+         CAST(CAST('0x' || substr(md5('13:' || coalesce(source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS phase
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents), k),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY draw, doc_id, text_crc32, size) - 1 AS place, count(*) OVER (PARTITION BY source) AS n,
+         count(*) OVER () AS total FROM d),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY (CAST(place AS DOUBLE) + phase) / CAST(n AS DOUBLE), source NULLS FIRST, place) - 1 AS pos FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(40 * pos // total AS INT) AS shard,
+       row_number() OVER (PARTITION BY 40 * pos // total ORDER BY pos) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM o
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -107,4 +203,6 @@ def all_sql() -> dict[str, str]:
         "op7_exact_dedup": OP7,
         "op8_substring_dedup": OP8,
         "op9_source_mixing": OP9,
+        "op12_merkle_manifest": OP12,
+        "op13_stratified_sharding": OP13,
     }

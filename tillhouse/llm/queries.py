@@ -13,10 +13,12 @@ from tillhouse.llm import (
     exact_dedup,
     html_extraction,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     piece_sampling,
     quality_rules,
+    sharding,
     substring_dedup,
     url_filters,
 )
@@ -71,6 +73,15 @@ def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(_table(spark, sf_dir, "documents"), altered)
+
+
+def op13_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents")).drop("source")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_url_filters,
@@ -83,5 +94,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring_dedup,
         op9_source_mixing,
         op10_sentencepiece_sampling,
+        op12_merkle_manifest,
+        op13_stratified_sharding,
     ]
     return {f.__name__: f for f in listed} | {"pipeline": corpus_pipeline.run}
