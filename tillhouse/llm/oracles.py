@@ -99,6 +99,35 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM p
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+c AS (SELECT lang, sum(len(words)) AS n FROM p GROUP BY lang),
+w AS (SELECT piece, lang, unnest(words) AS w1, unnest(range(len(words))) AS i FROM p),
+x AS (SELECT *, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4 FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)),
+g AS (
+  SELECT lang, 1 AS m, w1 AS phrase FROM x
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM x WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM x WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM x WHERE w4 IS NOT NULL),
+f AS (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS words FROM g GROUP BY ALL HAVING count(*) >= 30),
+s AS (
+  SELECT a.lang, a.m, a.phrase, a.words, a.f AS a, k, l.f AS l, r.f AS r, (2000000 * CAST(a.f AS HUGEINT)) // (CAST(l.f AS HUGEINT) + r.f) AS score
+  FROM f a JOIN (SELECT unnest([1, 2, 3]) AS k) ON k < a.m
+  JOIN f l ON l.lang = a.lang AND l.phrase = array_to_string(a.words[1:k], ' ')
+  JOIN f r ON r.lang = a.lang AND r.phrase = array_to_string(a.words[k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (
+  SELECT lang, array_to_string(words[i:i + z - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM f, (SELECT unnest([2, 3]) AS z) WHERE z < m) GROUP BY ALL),
+k AS (SELECT b.* FROM b LEFT JOIN h USING (lang, phrase) WHERE NOT coalesce(100 * CAST(longer AS HUGEINT) >= 80 * CAST(a AS HUGEINT), false))
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM k JOIN c USING (lang) WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000
+"""
+
 # CRC-32 of ASCII or UTF-8 bytes: a table of 256 entries from the polynomial, then one step per byte.
 _CRC_TABLE = "SELECT list(v ORDER BY b) AS crc FROM (SELECT b, list_reduce([b, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS b))"
 
@@ -203,6 +232,7 @@ def all_sql() -> dict[str, str]:
         "op7_exact_dedup": OP7,
         "op8_substring_dedup": OP8,
         "op9_source_mixing": OP9,
+        "op11_phrase_mining": OP11,
         "op12_merkle_manifest": OP12,
         "op13_stratified_sharding": OP13,
     }

@@ -16,6 +16,7 @@ from tillhouse.llm import (
     merkle,
     mixing,
     near_dedup,
+    phrases,
     piece_sampling,
     quality_rules,
     sharding,
@@ -73,6 +74,10 @@ def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return merkle.manifest(_table(spark, sf_dir, "documents"), altered)
@@ -94,6 +99,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring_dedup,
         op9_source_mixing,
         op10_sentencepiece_sampling,
+        op11_phrase_mining,
         op12_merkle_manifest,
         op13_stratified_sharding,
     ]
