@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillhouse.functions import divide, lookup, percent, rounded, week_start
+from tillhouse.plans.day_tables import on_range
 from tillhouse.plans.registry import Params, model
 
 CENTS = "decimal(18,2)"
@@ -87,7 +88,7 @@ def mart_inventory_turnover(
         )
     )
     sold = (
-        items.filter(F.col("transaction_dt") >= as_of - F.expr("interval 30 days"))
+        on_range(items, "transaction_dt", start=as_of - F.expr("interval 30 days"))
         .groupBy(*site, F.to_date("transaction_dt").alias("_day"))
         .agg(F.sum("quantity").alias("quantity"))
         .groupBy(*site)

@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.operators.ranking import previous_in_group
+from tillhouse.operators.ranking import previous_by_piece
+from tillhouse.plans.day_tables import on_range
 from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
 
 WARN, ERROR = "warn", "error"
@@ -443,14 +444,15 @@ def transaction_total_balance(transactions: DataFrame) -> DataFrame:
 def loyalty_balance(points: DataFrame, transactions: DataFrame) -> DataFrame:
     """Point events whose balance does not follow from the member's previous one.
 
-    A shared card may hold a large part of all events, so the previous event is found by rank.
+    A shared card may hold a large part of all events, so the previous event is found day by day.
     """
     receipts = transactions.select(F.col("transaction_id").alias("_txn"), "transaction_dt")
     dated = points.join(receipts, F.col("transaction_id") == F.col("_txn")).select(
         "pt_id", "member_id", "transaction_dt", "points_earned", "points_redeemed", "points_balance_after"
     )
-    chained = previous_in_group(
-        dated, ["member_id"], ["transaction_dt", "points_balance_after", "pt_id"], "points_balance_after", "prev_balance"
+    dated = dated.withColumn("_day", F.to_date("transaction_dt"))
+    chained = previous_by_piece(
+        dated, "member_id", "_day", ["transaction_dt", "points_balance_after", "pt_id"], "points_balance_after", "prev_balance"
     )
     expected = F.col("prev_balance") + F.col("points_earned") - F.col("points_redeemed")
     return (
@@ -481,7 +483,7 @@ def unpaired_clock_events(events: DataFrame, today: date) -> DataFrame:
         for kind in ("clock_in", "clock_out", "break_start", "break_end")
     }
     return (
-        events.filter(F.col("event_date") < F.lit(today))
+        on_range(events, "event_date", before=today)
         .groupBy("employee_id", "event_date")
         .agg(*[value.alias(name) for name, value in counts.items()])
         .filter("clock_ins <> clock_outs OR break_starts <> break_ends")

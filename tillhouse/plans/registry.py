@@ -20,6 +20,8 @@ class Params:
     spine_start: date = date(2024, 1, 1)
     spine_years_ahead: int = 2
     now: datetime | None = None
+    #: Whether tables that grow by the day are laid out by 'day' or, where a day is less than a file's worth, by 'month'.
+    grain: str = "day"
 
     @property
     def moment(self) -> datetime:

@@ -12,19 +12,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.operators import sales
-from tillhouse.plans import quality
+from tillhouse.plans import day_tables, quality
 from tillhouse.plans.charts import CHARTS, Chart, chart_query, headline_kpis, heatmap
 from tillhouse.plans.metrics import MARTS, MEASURES, METRICS, MetricLayer
-from tillhouse.plans.registry import MODELS, Params
+from tillhouse.plans.registry import MODELS, Model, Params
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.session import configure, shared_folder
 from tillhouse.sources import landing
 from tillhouse.sources.export import delivery_complete, export_report
+from tillhouse.sources.keyed_store import KeyedStore
 from tillhouse.sources.order_book import CLOCK_EVENTS, OrderBookSource
 from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
 from tillhouse.streaming.polling import landing_stream, load_stream
 
 SALES_AS_OF = date(2001, 8, 2)
+#: The given tables hold a few hundred receipts a day at most, so tables are laid out by month.
+PARAMS = Params(as_of=SALES_AS_OF, grain="month")
 CLOCK_AS_OF = date(2001, 7, 31)
 FRESHNESS_NOW = datetime(2024, 2, 2, 12)
 LOADED_UNTIL = datetime(2001, 1, 1)
@@ -33,23 +36,47 @@ LOAD_NOW = datetime(2002, 1, 1)
 Query = Callable[[SparkSession, str], DataFrame]
 Table = Callable[[str], DataFrame]
 
-_open: dict[tuple[str, int, str], Warehouse] = {}
+_open: dict[tuple, Warehouse] = {}
+_built: dict[tuple, tuple[str, Warehouse]] = {}
+
+
+def _state(spark: SparkSession, directory: str) -> tuple:
+    """The application, the folder, and the name, size and time of each table in it: new input makes new tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    listed = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+    return spark.sparkContext.applicationId, directory, tuple(listed)
 
 
 def warehouse(spark: SparkSession, directory: str) -> Warehouse:
-    """One warehouse per session and directory; its frames are lazy plans and are shared by queries."""
-    key = (spark.sparkContext.applicationId, id(spark), directory)
+    """One warehouse per application and input; its frames are lazy plans and are shared by queries."""
+    key = _state(spark, directory)
     if key not in _open:
         configure(spark)
-        _open[key] = Warehouse(OrderBookSource(spark, directory), Params(as_of=SALES_AS_OF))
+        _open[key] = Warehouse(OrderBookSource(spark, directory), PARAMS)
     return _open[key]
 
 
+def _tables(spark: SparkSession, directory: str) -> tuple[str, Warehouse]:
+    """The warehouse whose models are tables, and the folder under the session's shared one that holds them."""
+    key = _state(spark, directory)
+    if key not in _built:
+        configure(spark)
+        root = f"{shared_folder(spark)}/tables/{re.sub(r'[^A-Za-z0-9]+', '_', directory)}-{uuid4().hex[:8]}"
+        _built[key] = root, Warehouse(OrderBookSource(spark, directory), PARAMS)
+    return _built[key]
+
+
+def build(spark: SparkSession, directory: str, names: list[str] | None = None) -> None:
+    """Writes the models (all by default) as tables. Queries on built tables start no job before they are run."""
+    root, house = _tables(spark, directory)
+    house.materialise(spark, root, names, again=False)
+
+
 def stored(spark: SparkSession, directory: str) -> Table:
-    """Models as tables in the session's shared folder, the way metrics, charts and checks read them."""
-    house = warehouse(spark, directory)
-    root = f"{shared_folder(spark)}/tables/{re.sub(r'[^A-Za-z0-9]+', '_', directory)}"
-    return lambda name: house.stored(spark, root, name)
+    """Models as tables, the way models, metrics, charts and checks read each other. What is missing is built first."""
+    root, house = _tables(spark, directory)
+    return lambda name: house.built(spark, root, name)
 
 
 def comparable(frame: DataFrame, *as_double: str) -> DataFrame:
@@ -67,8 +94,16 @@ def comparable(frame: DataFrame, *as_double: str) -> DataFrame:
 # ---- models
 
 
-def _model_query(name: str) -> Query:
-    return lambda spark, directory: comparable(warehouse(spark, directory).table(name))
+def _model_query(entry: Model) -> Query:
+    """A staging model as one plan from the source files, any other from the tables of its inputs."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        if entry.layer == "staging":
+            return comparable(warehouse(spark, directory).table(entry.name))
+        table = stored(spark, directory)
+        return comparable(entry.build(PARAMS, *map(table, entry.inputs)))
+
+    return query
 
 
 def _time_spine(spark: SparkSession, directory: str) -> DataFrame:
@@ -82,7 +117,7 @@ def _time_spine(spark: SparkSession, directory: str) -> DataFrame:
 
 def model_queries() -> dict[str, Query]:
     ordered = sorted(MODELS.values(), key=lambda entry: ("SXM".index(entry.op_id[0]), entry.op_id))
-    found: dict[str, Query] = {entry.query_key: _model_query(entry.name) for entry in ordered}
+    found: dict[str, Query] = {entry.query_key: _model_query(entry) for entry in ordered}
     found["m42_time_spine"] = _time_spine
     return found
 
@@ -468,6 +503,36 @@ def _create_or_recreate(spark: SparkSession, directory: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _keyed_merge(spark: SparkSession, directory: str) -> DataFrame:
+    """The same two loads as `_upsert`, merged in place into a table that is bucketed by its key."""
+    configure(spark)
+    moment = F.col("transaction_dt").cast("timestamp")
+    source = _receipts(spark, directory)
+    entry = RAW_TABLES["raw_pos.transactions"]
+    store = KeyedStore(spark, _scratch(spark), slices=64, buckets=16)
+    store.replace(entry, landing.stamp(source.filter(moment < F.lit(datetime(2001, 6, 1))), LOADED_UNTIL), "first")
+    changed = source.filter(moment >= F.lit(LOADED_UNTIL)).withColumn("payment_method", F.lit("corrected"))
+    store.merge(entry, landing.stamp(changed, LOAD_NOW), "second")
+    return store.read(entry).select(
+        "transaction_id",
+        "payment_method",
+        F.col("total").cast("double").alias("total"),
+        F.col(EXTRACTED_AT).alias("extracted_at"),
+    )
+
+
+def _reloaded_month(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts laid out by month, of which May 1997 is loaded again from corrected sources."""
+    receipts = warehouse(spark, directory).table("stg_pos_transactions")
+    path = f"{_scratch(spark)}/receipts"
+    day_tables.write_laid_out(receipts, path, "transaction_dt", "month")
+    corrected = receipts.withColumn("payment_method", F.lit("corrected"))
+    day_tables.reload_periods(corrected, path, "transaction_dt", date(1997, 5, 1), date(1997, 5, 31), "month")
+    return day_tables.read_laid_out(spark, path, receipts.schema, "month").select(
+        "transaction_id", "payment_method", F.col("_month").alias("month")
+    )
+
+
 def ingest_queries() -> dict[str, Query]:
     return {
         "i01_source_scan": _source_scan,
@@ -477,12 +542,14 @@ def ingest_queries() -> dict[str, Query]:
         "i03_backfill_window": _backfill,
         "i04_upsert": _upsert,
         "i04_repeated_loads": _repeated_loads,
+        "i04_keyed_merge": _keyed_merge,
         "i05_text_form": _text_form,
         "i06_schema_drift": _schema_drift,
         "i06_create_or_recreate": _create_or_recreate,
         "i07_event_stream": _event_stream,
         "i07_late_stream": _late_stream,
         "i08_materialised_mart": lambda spark, directory: comparable(stored(spark, directory)("mart_daily_revenue")),
+        "i08_reloaded_month": _reloaded_month,
         "i09_csv_export": _export,
         "i10_delivery_check": _delivery,
         "i11_source_freshness": lambda spark, directory: quality.freshness(

@@ -1,16 +1,28 @@
-"""Resolves models to DataFrames, lazily or from materialised tables."""
+"""Resolves models to DataFrames, lazily or from built tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.operators import intermediate, labor, loyalty, promotion, sales, staging, stock, supply  # noqa: F401
+from tillhouse.plans.day_tables import read_laid_out, reload_periods, write_laid_out
 from tillhouse.plans.registry import MODELS, Model, Params
 
 LAYERS = ("staging", "intermediate", "mart")
 
+#: Tables that grow by the day, with the moment whose day or month (Params.grain) they are laid out by.
+LAID_OUT = {
+    "stg_pos_transactions": "transaction_dt",
+    "stg_pos_transaction_items": "transaction_dt",
+    "stg_timeclock_events": "event_dt",
+}
+#: Models built side by side; their jobs share the cluster.
+AT_ONCE = 4
+
 
 class Warehouse:
     """`raw` maps a raw table name such as 'raw_pos.transactions' to a DataFrame."""
@@ -19,44 +31,61 @@ class Warehouse:
         self.raw = raw
         self.params = params
         self._frames: dict[str, DataFrame] = {}
-        self._stored: dict[str, DataFrame] = {}
+        self._built: set[str] = set()
 
     def table(self, name: str) -> DataFrame:
-        """The model as one lazy plan down to its raw tables, or as already materialised."""
+        """The model as read from its table if it has been built, else as one lazy plan down to raw or built tables."""
         if name not in self._frames:
-            if name.startswith("raw_"):
-                self._frames[name] = self.raw(name)
-            else:
-                entry = MODELS[name]
-                self._frames[name] = entry.build(self.params, *map(self.table, entry.inputs))
+            self._frames[name] = self.raw(name) if name.startswith("raw_") else self.plan(name)
         return self._frames[name]
 
-    def stored(self, spark: SparkSession, root: str, name: str) -> DataFrame:
-        """The model read from its table, which is written on first use together with shared inputs."""
-        if name.startswith("raw_"):
-            return self.table(name)
-        if name not in self._stored:
-            entry = MODELS[name]
-            shared = shared_models()
-            inputs = [self.stored(spark, root, i) if i in shared else self.table(i) for i in entry.inputs]
-            path = f"{root}/{entry.layer}/{entry.name}"
-            entry.build(self.params, *inputs).write.mode("overwrite").parquet(path)
-            self._stored[name] = spark.read.parquet(path)
-        return self._stored[name]
-
-    def materialise(self, spark: SparkSession, root: str, names: Iterable[str] | None = None) -> dict[str, str]:
-        """Replace each model's table under `root`, inputs first, and read later models from those tables."""
-        written = {}
-        for entry in build_order(names):
+    def plan(self, name: str) -> DataFrame:
+        """What the model computes from its inputs, whether or not it has been built itself."""
+        entry = MODELS[name]
+        return entry.build(self.params, *map(self.table, entry.inputs))
+
+    def built(self, spark: SparkSession, root: str, name: str) -> DataFrame:
+        """A raw table, or a model's table. What it needs and nobody has built yet is built first."""
+        if not name.startswith("raw_") and name not in self._built:
+            self.materialise(spark, root, [name], again=False)
+        return self.table(name)
+
+    def materialise(self, spark: SparkSession, root: str, names: Iterable[str] | None = None, again: bool = True) -> dict[str, str]:
+        """Replace each model's table under `root`, inputs first, and read later models from those tables.
+
+        Models whose inputs are all built are written side by side. With again=False, what this warehouse has built
+        before stays.
+        """
+        written: dict[str, str] = {}
+
+        def write(entry: Model) -> tuple[str, str, DataFrame]:
             path = f"{root}/{entry.layer}/{entry.name}"
-            self.table(entry.name).write.mode("overwrite").parquet(path)
-            self._frames[entry.name] = spark.read.parquet(path)
-            written[entry.name] = path
+            frame = self.plan(entry.name)
+            if entry.name in LAID_OUT:
+                write_laid_out(frame, path, LAID_OUT[entry.name], self.params.grain)
+                return entry.name, path, read_laid_out(spark, path, frame.schema, self.params.grain)
+            frame.write.mode("overwrite").parquet(path)
+            return entry.name, path, spark.read.schema(frame.schema).parquet(path)
+
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            for wave in build_waves(names):
+                wave = [entry for entry in wave if again or entry.name not in self._built]
+                for name in {i for entry in wave for i in entry.inputs}:
+                    self.table(name)
+                for name, path, frame in pool.map(write, wave):
+                    self._frames[name] = frame
+                    self._built.add(name)
+                    written[name] = path
         return written
 
+    def reload(self, root: str, name: str, first: date, last: date) -> None:
+        """Compute a laid-out table anew for the periods of some days only; its other files stay as they are."""
+        path = f"{root}/{MODELS[name].layer}/{name}"
+        reload_periods(self.plan(name), path, LAID_OUT[name], first, last, self.params.grain)
+
 
 def shared_models() -> set[str]:
-    """Enriched facts and marts with several readers; computing them once pays for writing them."""
+    """Enriched facts and marts with several readers."""
     readers: dict[str, int] = {}
     for entry in MODELS.values():
         for name in entry.inputs:
@@ -78,3 +107,15 @@ def build_order(names: Iterable[str] | None = None) -> list[Model]:
     for name in MODELS if names is None else names:
         visit(name)
     return list(ordered.values())
+
+
+def build_waves(names: Iterable[str] | None = None) -> list[list[Model]]:
+    """The build order in groups whose members don't need each other."""
+    depth: dict[str, int] = {}
+    waves: list[list[Model]] = []
+    for entry in build_order(names):
+        depth[entry.name] = max((depth[i] + 1 for i in entry.inputs if i in depth), default=0)
+        while len(waves) <= depth[entry.name]:
+            waves.append([])
+        waves[depth[entry.name]].append(entry)
+    return waves

@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a hot join partition even when the aggregation above then needs a shuffle of its own.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tables by day have thousands of folders; each listing task takes many of them.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
