@@ -345,6 +345,13 @@ SELECT transaction_id, transaction_dt FROM b_transactions WHERE transaction_dt B
 SELECT transaction_id, CASE WHEN late THEN 'corrected' ELSE payment_method END AS payment_method, {f8("total")} AS total,
        CASE WHEN late THEN TIMESTAMP '2002-01-01' ELSE TIMESTAMP '2001-01-01' END AS extracted_at
 FROM (SELECT *, transaction_dt >= TIMESTAMP '2001-01-01' AS late FROM b_transactions)""",
+        "i04_keyed_merge": f"""
+SELECT transaction_id, CASE WHEN late THEN 'corrected' ELSE payment_method END AS payment_method, {f8("total")} AS total,
+       CASE WHEN late THEN TIMESTAMP '2002-01-01' ELSE TIMESTAMP '2001-01-01' END AS extracted_at
+FROM (SELECT *, transaction_dt >= TIMESTAMP '2001-01-01' AS late FROM b_transactions)""",
+        "i08_reloaded_month": """
+SELECT transaction_id, CASE WHEN month = DATE '1997-05-01' THEN 'corrected' ELSE payment_method END AS payment_method, month
+FROM (SELECT *, CAST(date_trunc('month', transaction_dt) AS DATE) AS month FROM b_transactions)""",
         "i05_text_form": """
 SELECT item_id, '{"product_id":"' || product_id || '","category":"' || category || '"}' AS product, '["' || location_id || '"]' AS places FROM b_items""",
         "i06_schema_drift": """

@@ -119,8 +119,8 @@ def upsert(current: DataFrame, incoming: DataFrame, table: RawTable) -> DataFram
 
 
 def version_order(table: RawTable, columns: list[str]) -> list[Column]:
-    """Of versions loaded together: the newest watermark, then the greatest hash of the row."""
-    moment = [F.col(table.watermark).cast("timestamp").desc()] if table.watermark in columns else []
+    """Of versions loaded together: the newest watermark (one that is no moment comes last), then the greatest hash of the row."""
+    moment = [F.col(table.watermark).try_cast("timestamp").desc()] if table.watermark in columns else []
     return [*moment, F.xxhash64(*columns).desc()]
 
 
