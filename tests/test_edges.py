@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillhouse.functions import divide, percent, shift_hours
-from tillhouse.operators.ranking import global_ntile, global_row_number, previous_in_group
+from tillhouse.operators.ranking import global_ntile, global_row_number, previous_by_piece, previous_in_group
 from tillhouse.plans.charts import ChartMetric, Filter, heatmap, kpi_query
 from tillhouse.plans.metrics import MEASURES, MetricLayer
 from tillhouse.plans.quality import promotion_dates
@@ -387,3 +387,14 @@ def test_params_use_no_wall_clock(warehouse):
     house = warehouse({"raw_inv.stock_levels": [stock], "raw_hr.locations": [STORE]})
     row = only(house.table("mart_inventory_turnover"))
     assert row.stock_aging_category == "DEAD_STOCK" and float(row.days_of_supply) == 300.0 and row.daily_sell_rate == 0.01
+
+
+@pytest.mark.parametrize("order", [["at", "id"]])
+def test_previous_by_piece_equals_lag(spark, order):
+    """A hot member over many days, days with many events and one, null members, days and values."""
+    rows = [("hot", i // 7, i, None if i % 11 == 0 else i * i) for i in range(500)]
+    rows += [(None, i % 3, 1000 + i, i) for i in range(20)] + [("few", None if i < 2 else i, 2000 + i, i) for i in range(5)] + [("one", 1, 3000, 7)]
+    data = spark.createDataFrame(rows, "member string, day int, id int, v int").withColumn("at", F.col("day") * 100)
+    plain = data.withColumn("prev", F.lag("v").over(Window.partitionBy("member").orderBy("day", *order)))
+    found = previous_by_piece(data, "member", "day", order, "v", "prev")
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))

@@ -473,16 +473,14 @@ def int_inventory_daily_snapshot(
             *grain, *[values.get(m, F.lit(None)).cast("int" if m == "qoh" else qty).alias(m) for m in measures]
         )
 
-    # The newest count of a product at a site stands for every earlier count day as well.
-    newest = Window.partitionBy("product_id", "location_id").orderBy(
-        F.desc("as_of_date"), "quantity_on_hand"
-    )
-    counted = (
-        stock.withColumn("as_of_date", F.to_date("last_updated"))
-        .withColumn("_qoh", F.first("quantity_on_hand").over(newest.rowsBetween(Window.unboundedPreceding, 0)))
-        .select("product_id", "location_id", F.col("as_of_date").alias("snapshot_date"), "_qoh")
-        .distinct()
-    )
+    # The newest count of a product at a site (the smallest of its last day) stands for every earlier count day as well.
+    dated = stock.select("product_id", "location_id", F.to_date("last_updated").alias("snapshot_date"), "quantity_on_hand")
+    per_day = dated.groupBy(*grain).agg(F.min_by("quantity_on_hand", F.struct("quantity_on_hand")).alias("_least"))
+    newest = per_day.groupBy(F.col("product_id").alias("_product"), F.col("location_id").alias("_site")).agg(
+        F.max_by(F.struct(F.col("_least").alias("quantity")), F.struct("snapshot_date")).alias("_newest")
+    )
+    same = F.col("product_id").eqNullSafe(F.col("_product")) & F.col("location_id").eqNullSafe(F.col("_site"))
+    counted = per_day.join(newest, same).select(*grain, F.col("_newest.quantity").alias("_qoh"))
     received = receipt_items.join(receipts.select("receipt_id", "location_id", "received_date"), "receipt_id").select(
         "product_id", "location_id", F.col("received_date").alias("snapshot_date"), "quantity"
     )

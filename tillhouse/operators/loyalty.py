@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions import divide, percent, rounded
-from tillhouse.operators.ranking import global_ntile
+from tillhouse.operators.ranking import in_tile, tile_ends
 from tillhouse.plans.registry import Params, model
 
 CENTS = "decimal(18,2)"
@@ -159,8 +159,10 @@ def mart_loyalty_rfm(p: Params, members: DataFrame, events: DataFrame, transacti
             F.coalesce("_monetary", zero).cast("decimal(28,4)").alias("_spend"),
         )
     )
-    scored = global_ntile(base, 5, ["frequency", "member_id"], "frequency_score")
-    scored = global_ntile(scored, 5, ["_spend", "member_id"], "monetary_score").drop("_spend")
+    frequency = tile_ends(base, 5, "frequency", "member_id").scalar()
+    monetary = tile_ends(base, 5, "_spend", "member_id").scalar()
+    scored = in_tile(base, frequency, "frequency", "member_id", "frequency_score")
+    scored = in_tile(scored, monetary, "_spend", "member_id", "monetary_score").drop("_spend")
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")

@@ -29,8 +29,9 @@ def mart_promotion_effectiveness(
 ) -> DataFrame:
     """Sales of every product in every ad week, against the product's mean off-ad week.
 
-    Sales are summed per day and product first. Ads are expanded to their days, which turns the
-    date-range join into an equi join; the range only ever covers reduced rows.
+    Sales are summed per day and product first. Each range of ad dates, however many ads share it, is expanded to its
+    days once, which turns the date-range join into an equi join. A product's days of sale in a range are then rows to
+    count, and ads meet their range's sums.
     """
     receipts = transactions.select(F.col("transaction_id").alias("_txn"), F.col("transaction_date").alias("sale_date"))
     daily = (
@@ -44,18 +45,16 @@ def mart_promotion_effectiveness(
             F.count("unit_price").alias("priced"),
         )
     )
-    ad_days = ads.filter("start_date <= end_date").select(
-        F.col("ad_id").alias("_ad"),
-        "ad_name",
-        F.col("start_date").alias("ad_week_start"),
-        F.col("end_date").alias("ad_week_end"),
-        F.explode(F.sequence("start_date", "end_date")).alias("_day"),
+    span = ["ad_week_start", "ad_week_end"]
+    dated = ads.filter("start_date <= end_date").select(
+        F.col("ad_id").alias("_ad"), "ad_name", F.col("start_date").alias(span[0]), F.col("end_date").alias(span[1])
     )
-    per_ad = (
-        daily.join(ad_days, F.col("sale_date") == F.col("_day"))
-        .groupBy("_ad", "ad_week_start", "ad_week_end", "ad_name", "product_id")
+    days = dated.select(*span).distinct().withColumn("_day", F.explode(F.sequence(*span)))
+    per_span = (
+        daily.join(days, F.col("sale_date") == F.col("_day"))
+        .groupBy(*span, "product_id")
         .agg(
-            F.collect_set("sale_date").alias("days"),
+            F.count("*").alias("days"),
             F.sum("units").alias("units"),
             F.sum("revenue").alias("revenue"),
             F.sum("prices").alias("prices"),
@@ -70,13 +69,14 @@ def mart_promotion_effectiveness(
         "promoted_price",
     )
     offered = (F.col("_offer_ad") == F.col("_ad")) & (F.col("_offer_product") == F.col("product_id"))
-    # Ads of equal name and dates, or equal offers of one ad, fall into one row here.
+    # Ads of equal name and dates, or equal offers of one ad, fall into one row here; their days are the same.
     weekly = (
-        per_ad.join(offers, offered, "left")
+        dated.join(per_span, span)
+        .join(offers, offered, "left")
         .withColumn("is_ad_item", F.col("ad_item_id").isNotNull())
         .groupBy("ad_week_start", "ad_week_end", "ad_name", "product_id", "is_ad_item", "discount_pct", "promoted_price")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set("days")))).cast("bigint").alias("days_active"),
+            F.max("days").alias("days_active"),
             F.sum("units").alias("total_units_sold"),
             F.sum("revenue").cast(CENTS).alias("total_revenue"),
             rounded(divide(F.sum("prices"), F.sum("priced")), 2).cast(CENTS).alias("avg_unit_price"),
@@ -192,33 +192,48 @@ def mart_promotion_redemption(
 def mart_product_price_elasticity(p: Params, history: DataFrame, sales: DataFrame) -> DataFrame:
     """Month-on-month elasticity of units to the units-weighted list price.
 
-    The price in force on a day is found by an interval join: each price is valid until the next
-    change. Sales are summed per product and day before that join. The weighted price is kept as a
-    decimal, so that an unchanged price compares equal and yields no elasticity.
+    The price in force on a day is found by an as-of join in bins: each price is valid until the next change, prices are
+    cut at the ends of months, and a day meets the prices of its product and month only, of which there are at most as
+    many as days. So a product with very many changes and days gives rows in proportion to both, and its months go to
+    different tasks. The weighted price is kept as a decimal, so that an unchanged price compares equal and yields no
+    elasticity.
     """
     changes = Window.partitionBy("product_id").orderBy("changed_date")
     # Of several changes on one day the last by (moment, id) holds.
-    last_of_day = history.filter("product_id IS NOT NULL").groupBy("product_id", "changed_date").agg(
+    last_of_day = history.filter("product_id IS NOT NULL AND changed_date IS NOT NULL").groupBy("product_id", "changed_date").agg(
         F.max_by("new_price", F.struct("changed_at", "price_history_id")).alias("new_price")
     )
-    prices = last_of_day.select(
+    daily = (
+        sales.groupBy("product_id", "transaction_date")
+        .agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue"))
+        .withColumn("sale_month", F.trunc("transaction_date", "month"))
+    )
+    # A product's prices are needed up to its last day of sale.
+    sold_until = daily.groupBy(F.col("product_id").alias("_sold")).agg(F.max("transaction_date").alias("_last"))
+    valid = last_of_day.select(
         F.col("product_id").alias("_product"),
         "new_price",
         F.col("changed_date").alias("_from"),
         F.lead("changed_date").over(changes).alias("_until"),
-    )
-    daily = sales.groupBy("product_id", "transaction_date").agg(
-        F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")
+    ).join(sold_until, F.col("_product") == F.col("_sold"))
+    last_day = F.least(F.date_sub("_until", 1), F.col("_last"))
+    prices = valid.filter(F.col("_from") <= F.col("_last")).select(
+        "_product",
+        "new_price",
+        "_from",
+        "_until",
+        F.explode(F.sequence(F.trunc("_from", "month"), F.trunc(last_day, "month"), F.expr("interval 1 month"))).alias("_month"),
     )
     in_force = (
         (F.col("product_id") == F.col("_product"))
+        & (F.col("sale_month") == F.col("_month"))
         & (F.col("transaction_date") >= F.col("_from"))
         & (F.col("_until").isNull() | (F.col("transaction_date") < F.col("_until")))
     )
     units = F.col("units").cast("decimal(18,4)")
     monthly = (
         daily.join(prices, in_force, "left")
-        .groupBy("product_id", F.trunc("transaction_date", "month").alias("sale_month"))
+        .groupBy("product_id", "sale_month")
         .agg(
             F.sum("units").alias("units_sold"),
             F.sum("revenue").alias("revenue"),
