@@ -138,5 +138,15 @@ def test_words_of_a_chunk():
     assert len(set(chunk.piece.tolist())) == 4 and chunk.piece[0] == chunk.piece[1]
     assert chunk.word[2] == chunk.word[3] and chunk.word[6] == chunk.word[7]
     assert chunk.phrases(np.array([3, 6]), 2).to_pylist() == ["c d", "É É"]
-    bits = chunk.bits(at, 1)
-    assert bits[2] == bits[3] and phrases.Chunk(pa.array(["c"]), "de").bits(at[:1], 1)[0] != bits[2]
+    keys = chunk.keys(at, 1)
+    assert keys[2] == keys[3] and phrases.Chunk(pa.array(["c"]), "de").keys(at[:1], 1)[0] != keys[2]
+    assert {int(k) & 7 for k in chunk.keys(np.array([3, 6]), 2)} == {2}
+
+
+def test_shared_keys_only_add_work(table, monkeypatch):
+    """Keys of 17 bits: rare phrases look frequent by the keys they share, and the last pass drops them."""
+    plain = phrases.Chunk.keys
+    few = np.uint64(((1 << 14) - 1) << 50)
+    monkeypatch.setattr(phrases.Chunk, "keys", lambda self, at, length: (plain(self, at, length) & few) | np.uint64(length))
+    rows = prose(7, docs=150)
+    assert mined(table(rows)) == by_hand(rows)

@@ -1,16 +1,20 @@
 """Collocations by Toivonen's sampling method: exact phrase counts from few passes over the corpus.
 
-A sample of the documents proposes phrases: those of up to three words that it holds twice or more. A full pass counts,
-exactly, every word and every phrase whose two parts that are one word shorter are proposed: the proposed phrases and the
-negative border around them. Border failures, phrases that turn out frequent though they were not proposed, may have
-frequent extensions that were not counted. So long as there are any, all phrases found frequent become the next proposal,
-and a further pass counts what that admits and no pass before it did. Without failures the found set is closed: each
-frequent phrase has frequent parts, so it was admitted. Phrases of four words end after three further passes at most.
-
-Proposals are told to the tasks as a bitmap of fixed size (`FILTER_BITS`, 16 MiB), set from the phrases' hashes. Where two
-phrases share a bit, more is counted than needed and nothing is lost; counts are of the phrases themselves. In a task the
-words of a chunk are numbered and phrases are counted as pairs of numbers, then sent as text with their count; Spark adds
-them up, within the task first, so a very frequent phrase is a few rows. Scores are taken from the found set by joins.
+A sample of the documents proposes phrases: those of up to three words that it holds twice or more. A full pass counts
+every word and every phrase whose two parts that are one word shorter are proposed: the proposed phrases and the negative
+border around them. Border failures, phrases that turn out frequent though they were not proposed, may have frequent
+extensions that were not counted. So long as there are any, all phrases found frequent become the next proposal, and a
+further pass counts what that admits and no pass before it did. Without failures the found set is closed: each frequent
+phrase has frequent parts, so it was admitted. Phrases of four words end after three further passes at most.
+
+These passes count 64-bit keys, since nearly all phrases of the border are rare and are not needed as text. Phrases that
+share a key can only look more frequent than they are. So the closed set holds all frequent phrases, and one last pass
+counts its phrases themselves, as text, which leaves the frequent ones with their exact counts.
+
+Proposals are told to the tasks as a bitmap of fixed size (`FILTER_BITS`, 16 MiB), set from the keys. Where two phrases
+share a bit, more is counted than needed and nothing is lost. In a task the words of a chunk are numbered and phrases are
+counted as pairs of numbers, then sent with their count; Spark adds them up, within the task first, so a very frequent
+phrase is a few rows. Scores are taken from the found set by joins.
 
 Everything is per language; a null language is `und`. Null and empty texts have no words. Repeated rows count as often as
 they occur, null ids too. Equal scores are ordered by count, then by the phrase's bytes, so results agree whatever the
@@ -28,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.llm.words import SpanHashes, chunks, mix, raw
+from tillhouse.llm.words import SpanHashes, chunks, constants, mix, raw
 from tillhouse.session import shared_folder
 
 MAX_WORDS = 4
@@ -41,7 +45,9 @@ SCALE = 2_000_000
 SAMPLE_ONE_IN = 8
 SAMPLE_COUNT = 2
 FILTER_BITS = 27
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
+_SENT_BYTES = 1_000_000
+_STEP = 50_000
 _BUCKET = 1 << 15
 
 #: The characters between pieces and, besides these, between words.
@@ -52,8 +58,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _ENDS_PIECE = np.isin(np.arange(256), np.frombuffer(PIECE_ENDS, np.uint8))
 _IN_WORD = ~np.isin(np.arange(256), np.frombuffer(PIECE_ENDS + WORD_ENDS, np.uint8))
-_SAMPLED = pa.schema([("bit", pa.int32()), ("found", pa.int64())])
-_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("bit", pa.int32()), ("known", pa.bool_()), ("found", pa.int64())])
+_KEYED = pa.schema([("key", pa.int64()), ("found", pa.int64())])
+_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("found", pa.int64())])
+#: A key's lowest bits hold the number of words, its highest ones the bit of a filter.
+_LENGTH_BITS = 3
+
+
+def _text_hashes(texts: pa.Array) -> np.ndarray:
+    data, offsets = raw(texts)
+    return SpanHashes(data)(offsets[:-1], offsets[1:])
 
 
 class Chunk:
@@ -79,25 +92,30 @@ class Chunk:
         words = pa.Array.from_buffers(pa.large_binary(), self.n, buffers).dictionary_encode()
         self.word = words.indices.to_numpy().astype(np.int64)
         self.vocabulary = max(1, len(words.dictionary))
-        self.text = np.full(len(packed) + self.n, 0x20, np.uint8)
-        self.text[np.arange(len(packed)) + np.repeat(np.arange(self.n), size)] = packed
         self.end = word_ends + np.arange(self.n)
         self.start = self.end - size
-        self._spans = SpanHashes(self.text)
-        self._lang = mix(np.array([len(lang)], np.uint64) + np.bitwise_xor.reduce(mix(np.frombuffer(lang.encode(), np.uint8).astype(np.uint64) + (np.arange(len(lang.encode()), dtype=np.uint64) << np.uint64(8)))))
-
-    def bits(self, at: np.ndarray, length: int) -> np.ndarray:
-        """The place in a filter of the phrase that begins at each word."""
-        hashes = mix(self._spans(self.start[at], self.end[at + length - 1]) ^ self._lang)
-        return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        self.text = np.full(len(packed) + self.n, 0x20, np.uint8)
+        for a in range(0, self.n, _STEP):
+            b = min(a + _STEP, self.n)
+            first, last = word_ends[a] - size[a], word_ends[b - 1]
+            self.text[np.arange(first, last) + np.repeat(np.arange(a, b), size[a:b])] = packed[first:last]
+        self._lang = _text_hashes(pa.array([lang.encode()], pa.large_binary()))[0]
+        self._word_hash = _text_hashes(words.dictionary)
+
+    def keys(self, at: np.ndarray, length: int) -> np.ndarray:
+        """The keys of the phrases that begin at each word."""
+        hashes = np.full(len(at), self._lang)
+        for k, odd in enumerate(constants(length, 17)):
+            hashes += self._word_hash[self.word[at + k]] * odd
+        return ((mix(hashes) >> np.uint64(_LENGTH_BITS)) << np.uint64(_LENGTH_BITS)) | np.uint64(length)
 
     def portions(self, at: np.ndarray, length: int) -> Iterator[slice]:
-        """Ranges of phrases of about CHUNK_BYTES together, or of one phrase."""
+        """Ranges of phrases that are sent together: a bounded number of bytes, or one phrase."""
         upto = np.cumsum(self.end[at + length - 1] - self.start[at])
         begin = 0
         while begin < len(at):
             done = upto[begin - 1] if begin else 0
-            stop = max(begin + 1, int(np.searchsorted(upto, done + CHUNK_BYTES, side="right")))
+            stop = max(begin + 1, int(np.searchsorted(upto, done + _SENT_BYTES, side="right")))
             yield slice(begin, stop)
             begin = stop
 
@@ -109,30 +127,35 @@ class Chunk:
         return pa.Array.from_buffers(pa.large_string(), len(at), buffers).cast(pa.string())
 
 
-def _holds(proposed: np.ndarray | None, bits: np.ndarray) -> np.ndarray:
-    return np.ones(len(bits), bool) if proposed is None else (proposed[bits >> 3] >> (bits & 7)) & 1 == 1
+def _holds(proposed: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    if proposed is None:
+        return np.ones(len(keys), bool)
+    bit = (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return (proposed[bit >> 3] >> (bit & 7)) & 1 == 1
 
 
-def _grams(chunk: Chunk, proposals: list[np.ndarray | None], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each length: where each phrase first occurs that the last proposal admits and no earlier one does, its count,
-    its bit and whether the last proposal holds it. A proposal admits all words, and phrases of which it admits and
-    holds both parts."""
+def _grams(chunk: Chunk, proposals: list[np.ndarray | None], longest: int, held_only: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length: where each phrase first occurs that the last proposal admits and no earlier one does, its count
+    and its key. A proposal admits all words, and phrases of which it admits and holds both parts. With held_only, only
+    phrases that it holds itself."""
     admitted = [np.ones(chunk.n, bool) for _ in proposals]
     number = np.zeros(chunk.n, np.int64)
     for length in range(1, longest + 1):
         at = np.flatnonzero(np.logical_or.reduce(admitted))
         if not len(at):
             return
-        key = number[at] * chunk.vocabulary + chunk.word[at + length - 1]
-        _, first, same, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        pair = number[at] * chunk.vocabulary + chunk.word[at + length - 1]
+        _, first, same, counts = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
         number[at] = same
         where = at[first]
-        bits = chunk.bits(where, length)
-        held = [_holds(p, bits) for p in proposals]
+        keys = chunk.keys(where, length)
+        held = [_holds(p, keys) for p in proposals]
         new = admitted[-1][where]
         for earlier in admitted[:-1]:
             new &= ~earlier[where]
-        yield length, where[new], counts[new], bits[new], held[-1][new]
+        if held_only:
+            new &= held[-1]
+        yield length, where[new], counts[new], keys[new]
         for i, is_held in enumerate(held):
             extends = np.zeros(chunk.n, bool)
             extends[at] = is_held[same] & admitted[i][at]
@@ -148,40 +171,47 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Chunk
                     yield lang, chunk
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, chunk in _by_language(batches):
-        for _, _, counts, bits, _ in _grams(chunk, [None], MAX_WORDS - 1):
-            yield pa.RecordBatch.from_arrays([pa.array(bits, pa.int32()), pa.array(counts, pa.int64())], schema=_SAMPLED)
+def _key_counter(proposals: list, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keys and counts of what the last proposal admits and none before; without proposals, of all phrases."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [p.value for p in proposals] or [None]
+        for _, chunk in _by_language(batches):
+            for _, _, counts, keys in _grams(chunk, held, longest):
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], schema=_KEYED)
+
+    return count
 
 
-def _counter(proposals: list) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of one pass. In the first, the empty phrase stands for the number of words."""
+def _phrase_counter(closed) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Phrases of the closed set and their counts. The empty phrase stands for the number of words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [p.value for p in proposals]
+        held = closed.value
         for lang, chunk in _by_language(batches):
-            if len(held) == 1:
-                yield pa.RecordBatch.from_pydict({"lang": [lang], "phrase": [""], "bit": [0], "known": [True], "found": [chunk.n]}, schema=_COUNTED)
-            for length, where, counts, bits, known in _grams(chunk, held, MAX_WORDS):
-                if length == MAX_WORDS:
-                    known = np.ones(len(where), bool)
+            yield pa.RecordBatch.from_pydict({"lang": [lang], "phrase": [""], "found": [chunk.n]}, schema=_COUNTED)
+            for length, where, counts, _ in _grams(chunk, [held], MAX_WORDS, held_only=True):
                 for some in chunk.portions(where, length):
-                    columns = [
-                        pa.repeat(pa.scalar(lang, pa.string()), some.stop - some.start),
-                        chunk.phrases(where[some], length),
-                        pa.array(bits[some], pa.int32()),
-                        pa.array(known[some]),
-                        pa.array(counts[some], pa.int64()),
-                    ]
+                    columns = [pa.repeat(pa.scalar(lang, pa.string()), some.stop - some.start), chunk.phrases(where[some], length), pa.array(counts[some], pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, schema=_COUNTED)
 
     return count
 
 
-def _proposal(bits: DataFrame):
-    """The bitmap of the given bits, broadcast: 2 ** FILTER_BITS bits, however many phrases there are."""
-    spark = bits.sparkSession
-    buckets = bits.groupBy(F.shiftright("bit", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(_BUCKET - 1)).cast("long")).alias("bitmap"))
+def _unknown(proposal) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~_holds(proposal.value, batch["key"].to_numpy().view(np.uint64))))
+
+    return keep
+
+
+def _proposal(keys: DataFrame):
+    """The bitmap of the given keys, broadcast: 2 ** FILTER_BITS bits, however many phrases there are."""
+    spark = keys.sparkSession
+    bits = keys.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("bit"))
+    place = F.col("bit").bitwiseAND(F.lit(_BUCKET - 1))
+    buckets = bits.groupBy(F.shiftright("bit", 15).alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bitmap"))
     filled = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     width = _BUCKET // 8
     for row in buckets.toLocalIterator():
@@ -193,22 +223,29 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, one_in: int =
     """(lang, phrase, n_words, found): every phrase of up to four words with its exact count, if that is min_count or
     more. The row of no words has the number of words of the language."""
     shared_folder(docs.sparkSession)
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0)
-    sample = sample.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    # Here phrases that share a bit may be counted as one: both are then proposed.
-    twice = sample.mapInArrow(_sampled, "bit int, found long").groupBy("bit").agg(F.sum("found").alias("found")).filter(F.col("found") >= sample_count)
-    proposals = [_proposal(twice.select("bit"))]
-    words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1)
+    lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce("text", F.lit(""))
+    texts = docs.select(lang.alias("lang"), text.alias("text"))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select(lang.alias("lang"), text.alias("text"))
+
+    def keys(rows: DataFrame, proposals: list, longest: int, at_least: int) -> DataFrame:
+        counts = rows.mapInArrow(_key_counter(proposals, longest), "key long, found long")
+        return counts.groupBy("key").agg(F.sum("found").alias("found")).filter(F.col("found") >= at_least).select("key")
+
+    proposals = [_proposal(keys(sample, [], MAX_WORDS - 1, sample_count))]
+    extensible = F.col("key").bitwiseAND(F.lit((1 << _LENGTH_BITS) - 1)) < MAX_WORDS
     found: DataFrame | None = None
     while True:
-        counts = texts.mapInArrow(_counter(proposals), "lang string, phrase string, bit int, known boolean, found long")
-        summed = counts.groupBy("lang", "phrase").agg(F.sum("found").alias("found"), F.max("bit").alias("bit"), F.bool_and("known").alias("known"))
-        new = summed.filter((F.col("found") >= min_count) | (F.col("phrase") == "")).withColumn("n_words", words).checkpoint()
+        new = keys(texts, proposals, MAX_WORDS, min_count).checkpoint()
         found = new if found is None else found.unionByName(new)
-        if new.filter("NOT known").isEmpty():
-            return found.select("lang", "phrase", "n_words", "found")
-        proposals.append(_proposal(found.filter(F.col("n_words").between(1, MAX_WORDS - 1)).select("bit")))
+        failures = new.filter(extensible).mapInArrow(_unknown(proposals[-1]), "key long")
+        if failures.isEmpty():
+            break
+        proposals.append(_proposal(found.filter(extensible)))
+    counts = texts.mapInArrow(_phrase_counter(_proposal(found)), "lang string, phrase string, found long")
+    summed = counts.groupBy("lang", "phrase").agg(F.sum("found").alias("found"))
+    n_words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1)
+    frequent = summed.filter((F.col("found") >= min_count) | (F.col("phrase") == ""))
+    return frequent.select("lang", "phrase", n_words.alias("n_words"), "found").checkpoint()
 
 
 def _part(words: Column, start: int, length: Column | int) -> Column:
