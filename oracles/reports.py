@@ -242,6 +242,50 @@ def _counts(names: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {table_name(n)}" for n in names)
 
 
+#: The key of each staging table.
+STAGED_KEYS = {r.table: r.column for r in reversed(select_rules("unique", "staging"))}
+
+
+def _damaged(name: str) -> str:
+    """A staging table with the known faults, else the table as it is."""
+    if name not in STAGED_KEYS:
+        return table_name(name)
+    last = f"right({STAGED_KEYS[name]}, 1)"
+    changed = [f"CASE WHEN {last} <> '5' THEN {column} END AS {column}" for child, column, _, _ in ORPHAN_KEYS if child == name]
+    if name == "stg_pos_transaction_items":
+        changed.append(f"line_total + CASE WHEN {last} = '9' THEN 1 ELSE 0 END AS line_total")
+    columns = f"* REPLACE ({', '.join(changed)})" if changed else "*"
+    rows = f"SELECT {columns} FROM {table_name(name)} WHERE {last}"
+    return f"({rows} <> '3' UNION ALL {rows} = '7')"
+
+
+def _all_keys(shown) -> str:
+    rows = [
+        f"SELECT 'unique' AS \"check\", '{r.table}.{r.column}' AS name, (SELECT count(*) FROM (SELECT k FROM"
+        f" (SELECT {RAW_COLUMN.get(r.column, r.column) if r.layer == 'source' else r.column} AS k FROM {shown(r.table)}) WHERE k IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS failures"
+        for r in select_rules("unique")
+    ]
+    keys = dict.fromkeys([(r.table, r.column, *r.args) for r in select_rules("relationships")] + [tuple(k) for k in ORPHAN_KEYS])
+    for child, column, parent, key in keys:
+        name = f"{child}.{column} -> {parent}.{key}"
+        rows.append(
+            f"SELECT 'orphan', '{name}', (SELECT count(*) FROM {shown(child)} c WHERE {column} IS NOT NULL"
+            f" AND {column} NOT IN (SELECT {key} FROM {shown(parent)} WHERE {key} IS NOT NULL))"
+        )
+        rows.append(f"SELECT 'missing', '{name}', (SELECT count(*) FROM {shown(child)} c WHERE {column} IS NULL)")
+    return " UNION ALL ".join(rows)
+
+
+def _mismatches_damaged() -> str:
+    pairs = " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, CAST(a AS VARCHAR) AS raw_count, CAST(b AS VARCHAR) AS staging_count, NULL AS expected_count, NULL AS actual_count,"
+        f" 'raw_staging_mismatch' AS failure_type FROM (SELECT (SELECT count(*) FROM {table_name(raw)}) AS a, (SELECT count(*) FROM {_damaged(staged)} x) AS b) WHERE a <> b"
+        for entity, (raw, staged) in PROPAGATED.items()
+    )
+    return f"""{pairs} UNION ALL SELECT 'mart_daily_revenue_transaction_sum', NULL, NULL, CAST(a AS VARCHAR), CAST(b AS VARCHAR), 'mart_aggregation_mismatch'
+FROM (SELECT (SELECT count(*) FROM {_damaged("stg_pos_transactions")} x) AS a, (SELECT CAST(sum(pos_transaction_count) AS BIGINT) FROM t_mart_daily_revenue) AS b) WHERE a <> b"""
+
+
 def quality_sql() -> dict[str, str]:
     marts = [name for name, entry in MODELS.items() if entry.layer == "mart"]
     found = {key: _rules_sql(select_rules(*spec)) for key, spec in suite.RULE_SETS.items()}
@@ -262,6 +306,29 @@ WHERE abs(total - (subtotal + tax - coupon_savings - deal_savings)) > 0.01 HAVIN
 UNION ALL
 SELECT 'line_total_formula_mismatch', NULL, NULL, NULL, count(*) FROM b_items
 WHERE abs(line_total - (unit_price - discount) * quantity) > 0.01 HAVING count(*) > 0"""
+    found["d09_all_keys"] = _all_keys(table_name)
+    found["d09_all_keys_damaged"] = _all_keys(_damaged)
+    missing = _all_keys(_damaged)
+    found["d09_orphans_failing_damaged"] = f"""
+SELECT name AS fk_name, CAST(sum(failures) AS BIGINT) AS orphan_count FROM ({missing})
+WHERE "check" <> 'unique' AND name IN ({', '.join(f"'{c}.{k} -> {p}.{pk}'" for c, k, p, pk in ORPHAN_KEYS)}) GROUP BY 1 HAVING sum(failures) > 0"""
+    found["d11_count_mismatches_damaged"] = _mismatches_damaged()
+    lines, receipts = _damaged("stg_pos_transaction_items"), _damaged("stg_pos_transactions")
+    found["d12_line_total_balance_damaged"] = f"""
+SELECT item_id, transaction_id, product_id, {dbl("unit_price", "discount", "quantity", "line_total")}, {f8("(unit_price - discount) * quantity")} AS expected_line_total
+FROM {lines} x WHERE abs(line_total - (unit_price - discount) * quantity) > 0.01"""
+    found["d10_revenue_consistency_damaged"] = f"""
+SELECT check_name, {f8("expected")} AS expected, {f8("actual")} AS actual, {f8("abs(expected - actual)")} AS difference, CAST(NULL AS BIGINT) AS bad_count
+FROM (
+  SELECT 'raw_vs_staging_total_mismatch' AS check_name, (SELECT sum(total) FROM b_transactions) AS expected, (SELECT sum(CAST(total AS DECIMAL(18,4))) FROM {receipts} x) AS actual
+  UNION ALL SELECT 'mart_vs_staging_revenue_mismatch', (SELECT sum(CAST(total AS DECIMAL(18,4))) FROM {receipts} x), (SELECT sum(CAST(pos_revenue AS DECIMAL(18,4))) FROM t_mart_daily_revenue))
+WHERE abs(expected - actual) > 1
+UNION ALL
+SELECT 'total_formula_mismatch', NULL, NULL, NULL, count(*) FROM {receipts} x
+WHERE abs(total - (subtotal + tax - coalesce(coupon_savings, 0) - coalesce(deal_savings, 0))) > 0.01 HAVING count(*) > 0
+UNION ALL
+SELECT 'line_total_formula_mismatch', NULL, NULL, NULL, count(*) FROM {lines} x
+WHERE abs(line_total - (unit_price - coalesce(discount, 0)) * quantity) > 0.01 HAVING count(*) > 0"""
     found["d11_count_mismatches"] = """
 SELECT 'mart_daily_revenue_transaction_sum' AS entity, CAST(NULL AS VARCHAR) AS raw_count, CAST(NULL AS VARCHAR) AS staging_count,
        CAST(a AS VARCHAR) AS expected_count, CAST(b AS VARCHAR) AS actual_count, 'mart_aggregation_mismatch' AS failure_type

@@ -276,21 +276,85 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str, count_nu
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_count"))
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    child: str
+    column: str
+    parent: str
+    key: str
+
+
+@dataclass(frozen=True)
+class KeyFindings:
+    """Of each unique column, how many of its values occur more than once; of each foreign key, how many child rows have
+    a key that no parent has, and how many have none. All in one row of `found`, a map from the column whose values are
+    checked to (repeated, orphans by child, missing by child)."""
+
+    found: DataFrame
+    domains: dict[tuple[str, str], list[ForeignKey]]
+
+    def of_unique(self, table: str, column: str) -> Column:
+        return F.coalesce(self._domain(table, column)["repeated"], F.lit(0))
+
+    def of_key(self, key: ForeignKey, count_null: bool = False) -> Column:
+        domain = self._domain(key.parent, key.key)
+        place = self.domains[key.parent, key.key].index(key)
+        orphans, missing = (F.coalesce(F.get(domain[side], F.lit(place)), F.lit(0)) for side in ("orphans", "missing"))
+        return (orphans + missing if count_null else orphans).cast("bigint")
+
+    def _domain(self, table: str, column: str) -> Column:
+        return F.col("found")[f"{table}.{column}"]
+
+
+def check_keys(table: Table, unique: Iterable[tuple[str, str]], keys: Iterable[ForeignKey]) -> KeyFindings:
+    """All uniqueness and foreign-key checks from one scan per table and one shuffle.
+
+    The values of a unique or parent column and of all columns that refer to it are one domain. Every table gives its key
+    values once, each with its domain and its part in it (0: the column itself, then the children); values are counted
+    by part, in the tasks first, so a key with very many rows costs no more than any other.
+    """
+    domains: dict[tuple[str, str], list[ForeignKey]] = {name: [] for name in unique}
+    for key in keys:
+        children = domains.setdefault((key.parent, key.key), [])
+        if key not in children:
+            children.append(key)
+    numbers = {name: i for i, name in enumerate(domains)}
+    values: dict[str, list[Column]] = {}
+    for (name, column), children in domains.items():
+        for part, (source, value) in enumerate([(name, column), *[(c.child, c.column) for c in children]]):
+            entry = F.struct(F.lit(numbers[name, column]).alias("domain"), F.lit(part).alias("part"), F.col(value).cast("string").alias("value"))
+            values.setdefault(source, []).append(entry)
+    stacked = reduce(DataFrame.unionByName, [table(name).select(F.explode(F.array(*entries)).alias("k")).select("k.*") for name, entries in values.items()])
+    parts = range(1 + max(map(len, domains.values())))
+    counted = stacked.groupBy("domain", "value").agg(*[F.count_if(F.col("part") == i).alias(f"n{i}") for i in parts])
+    known = F.col("value").isNotNull()
+    alone = known & (F.col("n0") == 0)
+    per_domain = counted.groupBy("domain").agg(
+        F.count_if(known & (F.col("n0") > 1)).alias("repeated"),
+        F.array(*[F.coalesce(F.sum(F.when(alone, F.col(f"n{i}"))), F.lit(0)) for i in parts[1:]]).alias("orphans"),
+        F.array(*[F.coalesce(F.sum(F.when(~known, F.col(f"n{i}"))), F.lit(0)) for i in parts[1:]]).alias("missing"),
+    )
+    names = F.array(*[F.lit(f"{name}.{column}") for name, column in numbers])
+    # One row per domain, so a map of as many entries.
+    entry = F.struct(F.get(names, F.col("domain")).alias("name"), F.struct("repeated", "orphans", "missing").alias("of"))
+    found = per_domain.agg(F.map_from_entries(F.collect_list(entry)).alias("found"))
+    return KeyFindings(found, domains)
+
+
 def run(table: Table, rules: Iterable[Rule]) -> DataFrame:
     """Rows of (check, table, column, severity, failures), one per rule."""
     rules = list(rules)
     scanned: dict[str, list[Rule]] = {}
-    parts = []
     for rule in rules:
-        if rule.check == "unique":
-            parts.append(check_unique(table(rule.table), rule))
-        elif rule.check == "relationships":
-            parent, key = rule.args
-            found = orphans(table(rule.table), rule.column, table(parent), key)
-            parts.append(found.select(_line(rule, F.col("orphan_count")).alias("line")).select("line.*"))
-        else:
+        if rule.check not in ("unique", "relationships"):
             scanned.setdefault(rule.table, []).append(rule)
-    parts += [scan_table(table(name), group) for name, group in scanned.items()]
+    parts = [scan_table(table(name), group) for name, group in scanned.items()]
+    unique = [r for r in rules if r.check == "unique"]
+    keys = {r: ForeignKey(r.table, r.column, *r.args) for r in rules if r.check == "relationships"}
+    if unique or keys:
+        findings = check_keys(table, [(r.table, r.column) for r in unique], keys.values())
+        lines = [_line(r, findings.of_unique(r.table, r.column)) for r in unique] + [_line(r, findings.of_key(k)) for r, k in keys.items()]
+        parts.append(findings.found.select(F.explode(F.array(*lines)).alias("line")).select("line.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -303,15 +367,32 @@ def select_rules(check: str, layer: str | None = None) -> list[Rule]:
 
 def orphan_report(table: Table, failing_only: bool = True) -> DataFrame:
     """Orphans per foreign key; a missing child key is an orphan here."""
-    parts = []
-    for child, column, parent, key in ORPHAN_KEYS:
-        name = F.lit(f"{child}.{column} -> {parent}.{key}").alias("fk_name")
-        found = orphans(table(child), column, table(parent), key, count_null=True)
-        parts.append(found.select(name, "orphan_count"))
-    report = reduce(DataFrame.unionByName, parts)
+    keys = [ForeignKey(*key) for key in ORPHAN_KEYS]
+    findings = check_keys(table, [], keys)
+    lines = [
+        F.struct(F.lit(f"{k.child}.{k.column} -> {k.parent}.{k.key}").alias("fk_name"), findings.of_key(k, count_null=True).alias("orphan_count"))
+        for k in keys
+    ]
+    report = findings.found.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
     return report.filter("orphan_count > 0") if failing_only else report
 
 
+def key_report(table: Table) -> DataFrame:
+    """Every unique column and foreign key of the warehouse at once, with what fails of each."""
+    unique = [r for r in RULES if r.check == "unique"]
+    keys = list(dict.fromkeys([ForeignKey(r.table, r.column, *r.args) for r in RULES if r.check == "relationships"] + [ForeignKey(*k) for k in ORPHAN_KEYS]))
+    findings = check_keys(table, [(r.table, r.column) for r in unique], keys)
+
+    def line(kind: str, name: str, failures: Column) -> Column:
+        return F.struct(F.lit(kind).alias("check"), F.lit(name).alias("name"), failures.cast("bigint").alias("failures"))
+
+    lines = [line("unique", f"{r.table}.{r.column}", findings.of_unique(r.table, r.column)) for r in unique]
+    for k in keys:
+        name = f"{k.child}.{k.column} -> {k.parent}.{k.key}"
+        lines += [line("orphan", name, findings.of_key(k)), line("missing", name, findings.of_key(k, count_null=True) - findings.of_key(k))]
+    return findings.found.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
+
+
 def revenue_by_layer(table: Table) -> DataFrame:
     def total(layer: str, name: str, column: str) -> DataFrame:
         amount = F.coalesce(F.sum(F.col(column).cast("decimal(28,4)")), F.lit(0)).cast("decimal(28,4)")

@@ -242,6 +242,30 @@ def _quality(build: Callable[[Table], DataFrame]) -> Query:
     return lambda spark, directory: comparable(build(stored(spark, directory)))
 
 
+def _damaged(table: Table) -> Table:
+    """Staging tables with known faults, so that each check has something to find.
+
+    Rows whose key ends in 3 are missing, those whose key ends in 7 are there twice, those whose key ends in 5 have lost
+    their foreign keys, and lines whose id ends in 9 have a total one too high.
+    """
+    keys = {r.table: r.column for r in reversed(quality.select_rules("unique", "staging"))}
+
+    def damage(name: str) -> DataFrame:
+        frame = table(name)
+        if name not in keys:
+            return frame
+        last = F.right(F.col(keys[name]), F.lit(1))
+        for child, column, _, _ in quality.ORPHAN_KEYS:
+            if child == name:
+                frame = frame.withColumn(column, F.when(last != "5", F.col(column)))
+        if name == "stg_pos_transaction_items":
+            frame = frame.withColumn("line_total", F.col("line_total") + F.when(last == "9", 1).otherwise(0))
+        times = F.when(last == "3", 0).when(last == "7", 2).otherwise(1)
+        return frame.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+
+    return damage
+
+
 # key: check and layer
 RULE_SETS: dict[str, tuple[str, str | None]] = {
     "d01_unique_source": ("unique", "source"),
@@ -276,9 +300,15 @@ def quality_queries() -> dict[str, Query]:
         ),
         "d09_orphans_failing": _quality(quality.orphan_report),
         "d09_orphans_all": _quality(lambda t: quality.orphan_report(t, failing_only=False)),
+        "d09_all_keys": _quality(quality.key_report),
+        "d09_all_keys_damaged": _quality(lambda t: quality.key_report(_damaged(t))),
+        "d09_orphans_failing_damaged": _quality(lambda t: quality.orphan_report(_damaged(t))),
         "d10_revenue_consistency": _quality(quality.revenue_consistency),
+        "d10_revenue_consistency_damaged": _quality(lambda t: quality.revenue_consistency(_damaged(t))),
         "d11_count_mismatches": _quality(quality.count_mismatches),
+        "d11_count_mismatches_damaged": _quality(lambda t: quality.count_mismatches(_damaged(t))),
         "d12_line_total_balance": _quality(lambda t: quality.line_total_balance(t("stg_pos_transaction_items"))),
+        "d12_line_total_balance_damaged": _quality(lambda t: quality.line_total_balance(_damaged(t)("stg_pos_transaction_items"))),
         "d13_transaction_total_balance": _quality(
             lambda t: quality.transaction_total_balance(t("stg_pos_transactions"))
         ),
