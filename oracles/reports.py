@@ -9,6 +9,7 @@ from tillhouse.plans.charts import BORROWED, CHARTS, HEADLINES, Chart
 from tillhouse.plans.metrics import MARTS, MEASURES, METRICS, Measure
 from tillhouse.plans.quality import ORPHAN_KEYS, PROPAGATED, Rule, select_rules
 from tillhouse.plans.registry import MODELS
+from tillhouse.plans.warehouse import LAID_OUT
 from tillhouse.sources.raw_tables import RAW_TABLES
 
 # Raw table -> the table that holds its rows here.
@@ -373,6 +374,15 @@ UNION ALL SELECT 'mart.mart_inventory_summary_qty', count(*) FILTER (quantity_on
             ("mart.mart_daily_revenue(total_revenue)", "t_mart_daily_revenue", "total_revenue"),
         )
     )
+    found["d18_table_columns"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, column_name, values FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {table_name(name)})"
+        ' ON COLUMNS(*) INTO NAME column_name VALUE "values")'
+        for name in MODELS
+    )
+    found["d18_layout_by_month"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST(date_trunc('month', {moment}) AS DATE) AS month, count(*) AS row_count FROM {table_name(name)} GROUP BY ALL"
+        for name, moment in LAID_OUT.items()
+    )
     found["d20_count_propagation"] = " UNION ALL ".join(
         [
             f"SELECT '{entity}' AS entity, (SELECT count(*) FROM {table_name(raw)}) AS expected_count,"
@@ -391,6 +401,13 @@ UNION ALL SELECT 'mart.mart_inventory_summary_qty', count(*) FILTER (quantity_on
 
 
 
+#: The damaged product lines: what is wrong with each, by the number of its part.
+_LINES = f"""(
+  SELECT p_partkey AS n, p_name || ' #' || p_partkey AS name, CAST({money("p_retailprice")} AS VARCHAR) AS price,
+         CASE WHEN p_partkey % 11 = 0 THEN 'not JSON' WHEN p_partkey % 19 = 0 THEN 'not an object' WHEN p_partkey % 13 = 0 THEN 'no key' END AS problem
+  FROM part)"""
+
+
 def ingest_sql(mart_daily_revenue: str) -> dict[str, str]:
     scan = " UNION ALL ".join(
         f"SELECT '{t.name}' AS table_name, '{'incremental' if t.incremental else 'full'}' AS strategy, count(*) AS row_count,"
@@ -445,6 +462,17 @@ SELECT 'P' || p_partkey AS product_id, p_name || ' #' || p_partkey AS name, CAST
         "i04_repeated_loads": f"""
 SELECT transaction_id, CASE WHEN transaction_dt >= TIMESTAMP '2001-01-01' THEN 'corrected' ELSE payment_method END AS payment_method, {f8("total")} AS total
 FROM b_transactions""",
+        "i01_quarantined_lines": f"""
+SELECT problem, CASE WHEN problem IS NULL THEN 'P' || n END AS product_id, name, CASE WHEN problem IS NULL THEN price END AS current_price
+FROM {_LINES}""",
+        "i06_drift_report": f"""
+SELECT * FROM (
+  SELECT field, CASE status WHEN 'known' THEN 'STRING' WHEN 'new' THEN 'OBJECT<row: BIGINT>' END AS type, rows, status FROM (
+    SELECT unnest(['product_id', 'name', 'current_price']) AS field, count(*) AS rows, 'known' AS status FROM {_LINES} WHERE problem IS NULL
+    UNION ALL SELECT 'shelf', count(*), 'new' FROM {_LINES} WHERE problem IS NULL AND n % 17 = 0
+    UNION ALL SELECT unnest([{", ".join(f"'{c}'" for c in RAW_TABLES["raw_pos.products"].columns if c not in ("product_id", "name", "current_price"))}]), 0, 'missing'))""",
+        "i06_unregistered_fields": f"""
+SELECT 'P' || n AS product_id, n AS shelf_row FROM {_LINES} WHERE problem IS NULL AND n % 17 = 0""",
         "i06_create_or_recreate": """
 SELECT action, department_id, name FROM (SELECT department_id, department_name AS name FROM b_departments), (VALUES ('create'), ('recreate'), ('keep')) v(action)""",
         "i07_late_stream": f"""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.operators.ranking import previous_by_piece
-from tillhouse.plans.day_tables import on_range
+from tillhouse.plans.day_tables import LAYOUT, on_range
 from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
 
 WARN, ERROR = "warn", "error"
@@ -595,10 +595,33 @@ def empty_tables(table: Table, names: Iterable[str]) -> DataFrame:
     return table_counts(table, names).filter("row_count = 0").select("table_name")
 
 
-def table_columns(frame: DataFrame) -> DataFrame:
-    """Column name, type and position of one table."""
-    rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(frame.schema, start=1)]
-    return frame.sparkSession.createDataFrame(rows, "column_name string, data_type string, ordinal_position int")
+def table_columns(frame: DataFrame) -> Column:
+    """Name, type and position of a table's columns, as one array; the layout's column is no part of it."""
+    fields = [f for f in frame.schema if f.name not in LAYOUT.values()]
+    return F.array(
+        *[
+            F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.lit(i).alias("ordinal_position"))
+            for i, f in enumerate(fields, start=1)
+        ]
+    )
+
+
+def catalogue(table: Table, names: Iterable[str]) -> DataFrame:
+    """The columns of every table, with the number of values each has."""
+    parts = []
+    for name in names:
+        frame = table(name)
+        fields = [f.name for f in frame.schema if f.name not in LAYOUT.values()]
+        filled = frame.agg(F.array(*[F.count(f"`{c}`") for c in fields]).alias("filled"))
+        column = F.explode(F.arrays_zip(table_columns(frame).alias("column"), F.col("filled"))).alias("c")
+        parts.append(filled.select(F.lit(name).alias("table_name"), column).select("table_name", "c.column.*", F.col("c.filled").alias("values")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rows_by_month(table: Table, names: Iterable[str]) -> DataFrame:
+    """Rows in each month of the tables laid out by month."""
+    parts = [table(name).groupBy(F.col(LAYOUT["month"]).alias("month")).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "month", "row_count") for name in names]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def negative_values(table: Table) -> DataFrame:

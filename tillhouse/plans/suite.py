@@ -16,7 +16,7 @@ from tillhouse.plans import day_tables, quality
 from tillhouse.plans.charts import CHARTS, Chart, chart_query, headline_kpis, heatmap
 from tillhouse.plans.metrics import MARTS, MEASURES, METRICS, MetricLayer
 from tillhouse.plans.registry import MODELS, Model, Params
-from tillhouse.plans.warehouse import Warehouse
+from tillhouse.plans.warehouse import LAID_OUT, Warehouse
 from tillhouse.session import configure, shared_folder
 from tillhouse.sources import landing
 from tillhouse.sources.export import delivery_complete, export_report
@@ -79,6 +79,12 @@ def stored(spark: SparkSession, directory: str) -> Table:
     return lambda name: house.built(spark, root, name)
 
 
+def counted(spark: SparkSession, directory: str) -> Table:
+    """Built models for counts, which come from the footers of their files."""
+    root, house = _tables(spark, directory)
+    return lambda name: house.counted(spark, root, name)
+
+
 def comparable(frame: DataFrame, *as_double: str) -> DataFrame:
     """Decimals (and the named columns) as doubles, so that any reader compares plain numbers."""
     return frame.select(
@@ -285,6 +291,8 @@ RULE_SETS: dict[str, tuple[str, str | None]] = {
 
 
 def _rule_query(check: str, layer: str | None) -> Query:
+    if check == "row_count":
+        return lambda spark, directory: comparable(quality.run(counted(spark, directory), quality.select_rules(check, layer)))
     return _quality(lambda t: quality.run(t, quality.select_rules(check, layer)))
 
 
@@ -326,7 +334,10 @@ def quality_queries() -> dict[str, Query]:
             lambda t: quality.promotion_dates(t("stg_pos_transaction_items"), t("stg_pos_combo_deals"), "deal_id")
         ),
         "d18_raw_table_counts": _quality(lambda t: quality.table_counts(t, raw_names)),
-        "d18_mart_table_counts": _quality(lambda t: quality.table_counts(t, marts)),
+        "d18_mart_table_counts": lambda spark, directory: comparable(quality.table_counts(counted(spark, directory), marts)),
+        # Types and positions are those of this engine.
+        "d18_table_columns": _quality(lambda t: quality.catalogue(t, list(MODELS)).drop("data_type", "ordinal_position")),
+        "d18_layout_by_month": lambda spark, directory: comparable(quality.rows_by_month(counted(spark, directory), list(LAID_OUT))),
         "d18_empty_tables": _quality(lambda t: quality.empty_tables(t, raw_names)),
         "d19_negative_values": _quality(quality.negative_values),
         "d20_revenue_by_layer": _quality(quality.revenue_by_layer),
@@ -519,6 +530,34 @@ def _landing_scan(spark: SparkSession, directory: str) -> DataFrame:
     return landing.read_landing(spark, root, entry).select("product_id", "name", "current_price", "is_active")
 
 
+def _damaged_lines(spark: SparkSession, directory: str) -> landing.Extract:
+    """Products as JSON lines, some cut short, wrapped in a list, without their key, or with a field nobody registered."""
+    entry = RAW_TABLES["raw_pos.products"]
+    root = _scratch(spark)
+    number = F.substring("product_id", 2, 20).cast("bigint")
+    products = landing.as_text(warehouse(spark, directory).raw(entry.name)).withColumn("_n", number)
+    shelf = F.when(F.col("_n") % 17 == 0, F.struct(F.col("_n").alias("row")))
+    key = F.when(F.col("_n") % 13 != 0, F.col("product_id"))
+    line = F.when(F.col("_n") % 11 == 0, F.expr("left(line, length(line) - 1)")).when(F.col("_n") % 19 == 0, F.concat(F.lit("["), F.col("line"), F.lit("]"))).otherwise(F.col("line"))
+    lines = products.withColumn("line", F.to_json(F.struct(key.alias("product_id"), "name", "current_price", shelf.alias("shelf")))).select(line.alias("value"))
+    lines.write.text(f"{root}/{entry.schema_name}/{entry.table_name}")
+    return landing.read_extract(spark, root, entry)
+
+
+def _quarantine(spark: SparkSession, directory: str) -> DataFrame:
+    """Every line of the damaged extract, as a row or with what is wrong with it."""
+    extract = _damaged_lines(spark, directory)
+    good = extract.rows.select(F.lit(None).cast("string").alias("problem"), "product_id", "name", "current_price")
+    name = F.regexp_extract("line", '"name":"([^"]*)"', 1)
+    bad = extract.bad.select("problem", F.lit(None).cast("string").alias("product_id"), name.alias("name"), F.lit(None).cast("string").alias("current_price"))
+    return good.unionByName(bad)
+
+
+def _unregistered(spark: SparkSession, directory: str) -> DataFrame:
+    """The unregistered field of those rows that have it, taken out of their VARIANT."""
+    return _damaged_lines(spark, directory).unknown().select("product_id", F.variant_get("fields", "$.shelf.row", "bigint").alias("shelf_row"))
+
+
 def _create_or_recreate(spark: SparkSession, directory: str) -> DataFrame:
     """Departments loaded into a new table, into one without the key column, and into one that fits."""
     entry = RAW_TABLES["raw_pos.departments"]
@@ -567,6 +606,7 @@ def ingest_queries() -> dict[str, Query]:
     return {
         "i01_source_scan": _source_scan,
         "i01_landing_scan": _landing_scan,
+        "i01_quarantined_lines": _quarantine,
         "i02_full_refresh": _full_refresh,
         "i03_incremental_window": _incremental,
         "i03_backfill_window": _backfill,
@@ -575,6 +615,8 @@ def ingest_queries() -> dict[str, Query]:
         "i04_keyed_merge": _keyed_merge,
         "i05_text_form": _text_form,
         "i06_schema_drift": _schema_drift,
+        "i06_drift_report": lambda spark, directory: _damaged_lines(spark, directory).drift(),
+        "i06_unregistered_fields": _unregistered,
         "i06_create_or_recreate": _create_or_recreate,
         "i07_event_stream": _event_stream,
         "i07_late_stream": _late_stream,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillhouse.operators import intermediate, labor, loyalty, promotion, sales, staging, stock, supply  # noqa: F401
 from tillhouse.plans.day_tables import read_laid_out, reload_periods, write_laid_out
 from tillhouse.plans.registry import MODELS, Model, Params
+from tillhouse.sources.footers import footer_view
 
 LAYERS = ("staging", "intermediate", "mart")
 
@@ -31,7 +32,7 @@ class Warehouse:
         self.raw = raw
         self.params = params
         self._frames: dict[str, DataFrame] = {}
-        self._built: set[str] = set()
+        self._built: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         """The model as read from its table if it has been built, else as one lazy plan down to raw or built tables."""
@@ -50,6 +51,11 @@ class Warehouse:
             self.materialise(spark, root, [name], again=False)
         return self.table(name)
 
+    def counted(self, spark: SparkSession, root: str, name: str) -> DataFrame:
+        """A model's table for aggregates that the footers of its files answer; a raw table as it is."""
+        frame = self.built(spark, root, name)
+        return footer_view(spark, self._built[name], frame.schema) if name in self._built else frame
+
     def materialise(self, spark: SparkSession, root: str, names: Iterable[str] | None = None, again: bool = True) -> dict[str, str]:
         """Replace each model's table under `root`, inputs first, and read later models from those tables.
 
@@ -74,7 +80,7 @@ class Warehouse:
                     self.table(name)
                 for name, path, frame in pool.map(write, wave):
                     self._frames[name] = frame
-                    self._built.add(name)
+                    self._built[name] = path
                     written[name] = path
         return written
 

@@ -9,6 +9,7 @@ A read is one scan of the live batches. Where the catalog has a table format wit
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -38,6 +39,60 @@ def read_landing(spark: SparkSession, root: str, table: RawTable) -> DataFrame:
     return spark.read.schema(table.struct(with_metadata=False)).json(f"{root}/{table.schema_name}/{table.table_name}")
 
 
+def read_extract(spark: SparkSession, root: str, table: RawTable) -> Extract:
+    """The lines of one source table's files, sorted out: rows, lines kept aside, and fields that nobody registered.
+
+    A line is put aside if it is no JSON object, or if it has no key: such a row could not be merged, and all of them would
+    become one. What the registered columns don't take is kept as a VARIANT beside the row.
+    """
+    lines = spark.read.text(f"{root}/{table.schema_name}/{table.table_name}").withColumn("_file", F.col("_metadata.file_path"))
+    parsed = lines.filter(F.trim("value") != "").withColumn("_line", F.try_parse_json("value"))
+    as_object = F.schema_of_variant("_line").startswith("OBJECT<")
+    key = F.try_variant_get("_line", f"$['{table.key}']", "string")
+    sorted_out = parsed.withColumn(
+        "_problem",
+        F.when(F.col("_line").isNull(), "not JSON").when(~as_object, "not an object").when(key.isNull(), "no key"),
+    )
+    # A whole value as text: a text as it is, nested values as JSON.
+    def as_value(name: str) -> Column:
+        value = F.try_variant_get("_line", f"$['{name}']", "variant")
+        return F.when(~F.is_variant_null(value), F.coalesce(F.try_variant_get("_line", f"$['{name}']", "string"), F.to_json(value))).alias(name)
+
+    values = [as_value(c) for c in table.columns]
+    rows = sorted_out.filter("_problem IS NULL")
+    bad = sorted_out.filter("_problem IS NOT NULL").select(F.col("_problem").alias("problem"), F.col("value").alias("line"), F.col("_file").alias("file"))
+    return Extract(rows.select(*values), bad, rows.select(F.col("_line").alias("line")), table)
+
+
+@dataclass(frozen=True)
+class Extract:
+    """`rows`: registered columns as text; `bad`: problem, line and file; `lines`: all good lines as VARIANT."""
+
+    rows: DataFrame
+    bad: DataFrame
+    lines: DataFrame
+    table: RawTable
+
+    def drift(self) -> DataFrame:
+        """One row per field that came or failed to come: field, type, rows that have it, and 'new', 'missing' or 'known'.
+
+        A field's type is that of all its values, merged by schema_of_variant_agg.
+        """
+        fields = self.lines.select(F.explode(F.expr("cast(line as map<string, variant>)")).alias("field", "value"))
+        came = fields.groupBy("field").agg(F.schema_of_variant_agg("value").alias("type"), F.count("*").alias("rows"))
+        names = F.array(*map(F.lit, self.table.columns))
+        known = self.lines.sparkSession.range(1).select(F.explode(names).alias("field"), F.lit(True).alias("registered"))
+        status = F.when(F.col("registered").isNull(), "new").when(F.col("rows").isNull(), "missing").otherwise("known")
+        return came.join(known, "field", "full").select("field", "type", F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"))
+
+    def unknown(self) -> DataFrame:
+        """The key and, as VARIANT, the fields that nobody registered, of the rows that have some."""
+        fields = F.expr("cast(line as map<string, variant>)")
+        rest = F.map_filter(fields, lambda name, value: ~name.isin(*self.table.columns))
+        key = F.try_variant_get("line", f"$['{self.table.key}']", "string").alias(self.table.key)
+        return self.lines.select(key, rest.alias("_rest")).filter(F.size("_rest") > 0).select(self.table.key, F.expr("to_variant_object(_rest)").alias("fields"))
+
+
 def as_text(frame: DataFrame) -> DataFrame:
     """Raw form of a typed frame: nested values as JSON text, everything else as text."""
     nested = (T.ArrayType, T.MapType, T.StructType)
