@@ -477,6 +477,14 @@ SELECT 'P' || n AS product_id, n AS shelf_row FROM {_LINES} WHERE problem IS NUL
 SELECT action, department_id, name FROM (SELECT department_id, department_name AS name FROM b_departments), (VALUES ('create'), ('recreate'), ('keep')) v(action)""",
         "i07_late_stream": f"""
 SELECT transaction_id, member_id, {f8("total")} AS total FROM b_transactions""",
+        "i11_row_freshness": "SELECT *, CASE WHEN age_hours IS NULL OR age_hours > 48 THEN 'error' WHEN age_hours > 24 THEN 'warn' ELSE 'pass' END AS status FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{t.schema_name}' AS source, '{t.table_name}' AS \"table\", newest AS max_loaded_at,"
+            f" CAST(epoch_us(TIMESTAMP '2001-08-03 09:00:00') - epoch_us(newest) AS DOUBLE) / 3.6e9 AS age_hours"
+            f" FROM (SELECT CAST(max({t.watermark}) AS TIMESTAMP) AS newest FROM {RAW_AS[t.name]})"
+            for t in RAW_TABLES.values() if t.watermark
+        )
+        + ")",
         "i11_source_freshness": " UNION ALL ".join(
             f"SELECT '{t.schema_name}' AS source, '{t.table_name}' AS \"table\", {STAMP} AS max_loaded_at, CAST(36 AS DOUBLE) AS age_hours,"
             f" 'warn' AS status FROM {RAW_AS[t.name]} HAVING count(*) > 0"

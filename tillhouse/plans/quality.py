@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.ranking import previous_by_piece
 from tillhouse.plans.day_tables import LAYOUT, on_range
-from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
+from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES, RawTable
 
 WARN, ERROR = "warn", "error"
 
@@ -641,11 +641,20 @@ def negative_values(table: Table) -> DataFrame:
 
 def freshness(raw: Table, now: datetime, warn_hours: int = 24, error_hours: int = 48) -> DataFrame:
     """Age of the newest extract of every source table."""
+    return _ages(raw, {entry: EXTRACTED_AT for entry in RAW_TABLES.values()}, now, warn_hours, error_hours)
+
+
+def row_freshness(raw: Table, now: datetime, warn_hours: int = 24, error_hours: int = 48) -> DataFrame:
+    """Age of the newest row, by its watermark, of every source table that has one. Tables without rows are in error."""
+    return _ages(raw, {entry: entry.watermark for entry in RAW_TABLES.values() if entry.watermark}, now, warn_hours, error_hours)
+
+
+def _ages(raw: Table, moments: dict[RawTable, str], now: datetime, warn_hours: int, error_hours: int) -> DataFrame:
     parts = [
         raw(entry.name)
-        .agg(F.max(F.col(EXTRACTED_AT).cast("timestamp")).alias("max_loaded_at"))
+        .agg(F.max(F.col(moment).cast("timestamp")).alias("max_loaded_at"))
         .select(F.lit(entry.schema_name).alias("source"), F.lit(entry.table_name).alias("table"), "max_loaded_at")
-        for entry in RAW_TABLES.values()
+        for entry, moment in moments.items()
     ]
     age = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros("max_loaded_at")) / F.lit(3.6e9)
     status = (

@@ -30,6 +30,7 @@ SALES_AS_OF = date(2001, 8, 2)
 PARAMS = Params(as_of=SALES_AS_OF, grain="month")
 CLOCK_AS_OF = date(2001, 7, 31)
 FRESHNESS_NOW = datetime(2024, 2, 2, 12)
+ROWS_NOW = datetime(2001, 8, 3, 9)
 LOADED_UNTIL = datetime(2001, 1, 1)
 LOAD_NOW = datetime(2002, 1, 1)
 
@@ -624,6 +625,7 @@ def ingest_queries() -> dict[str, Query]:
         "i08_reloaded_month": _reloaded_month,
         "i09_csv_export": _export,
         "i10_delivery_check": _delivery,
+        "i11_row_freshness": lambda spark, directory: quality.row_freshness(warehouse(spark, directory).raw, ROWS_NOW),
         "i11_source_freshness": lambda spark, directory: quality.freshness(
             warehouse(spark, directory).raw, FRESHNESS_NOW
         ),
