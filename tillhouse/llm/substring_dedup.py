@@ -239,7 +239,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, run: int = RUN) -> DataF
     """One row per document: doc_id, n_words, n_removed, kept_text (the kept words, joined by one space), kept_sha256."""
     blocks = key_counts.in_blocks(docs)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    told = key_counts.counted(blocks, lambda t: _Block(t, width, run).keys(), lambda n: n > 1)
+    # Read twice, below and at the end: one exchange that both read, so that it is made once.
+    told = key_counts.counted(blocks, lambda t: _Block(t, width, run).keys(), lambda n: n > 1).repartition(parts, "block")
 
     def owners(keys: np.ndarray) -> np.ndarray:
         return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
