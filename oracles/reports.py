@@ -475,6 +475,8 @@ SELECT * FROM (
 SELECT 'P' || n AS product_id, n AS shelf_row FROM {_LINES} WHERE problem IS NULL AND n % 17 = 0""",
         "i06_create_or_recreate": """
 SELECT action, department_id, name FROM (SELECT department_id, department_name AS name FROM b_departments), (VALUES ('create'), ('recreate'), ('keep')) v(action)""",
+        "i07_first_rows": f"""
+SELECT transaction_id, member_id, {f8("total")} AS total FROM b_transactions""",
         "i07_late_stream": f"""
 SELECT transaction_id, member_id, {f8("total")} AS total FROM b_transactions""",
         "i11_row_freshness": "SELECT *, CASE WHEN age_hours IS NULL OR age_hours > 48 THEN 'error' WHEN age_hours > 24 THEN 'warn' ELSE 'pass' END AS status FROM ("

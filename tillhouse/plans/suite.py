@@ -23,6 +23,7 @@ from tillhouse.sources.export import delivery_complete, export_report
 from tillhouse.sources.keyed_store import KeyedStore
 from tillhouse.sources.order_book import CLOCK_EVENTS, OrderBookSource
 from tillhouse.sources.raw_tables import EXTRACTED_AT, RAW_TABLES
+from tillhouse.streaming.first_rows import first_rows, first_rows_stream
 from tillhouse.streaming.polling import landing_stream, load_stream
 
 SALES_AS_OF = date(2001, 8, 2)
@@ -506,22 +507,39 @@ def _repeated_loads(spark: SparkSession, directory: str) -> DataFrame:
     return store.read(entry).select("transaction_id", "payment_method", F.col("total").cast("double").alias("total"))
 
 
-def _late_stream(spark: SparkSession, directory: str) -> DataFrame:
-    """Receipts streamed newest year first, one file a batch, the oldest year twice: late rows stay, repeats don't."""
-    configure(spark)
+def _deliver_years(spark: SparkSession, directory: str, scratch: str) -> None:
+    """Receipts as files of JSON lines, newest year first, the oldest ones twice."""
     entry = RAW_TABLES["raw_pos.transactions"]
-    scratch = _scratch(spark)
     folder = f"{scratch}/landing/{entry.schema_name}/{entry.table_name}"
     source = landing.conform(_receipts(spark, directory), list(entry.columns))
     year = F.year(F.col("transaction_dt").cast("timestamp"))
     for after, before in ((1998, 9999), (1994, 1998), (0, 1994), (0, 1994)):
         source.filter((year >= after) & (year < before)).write.mode("append").json(folder)
+
+
+def _late_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """Receipts streamed newest year first, one file a batch, the oldest year twice: late rows stay, repeats don't."""
+    configure(spark)
+    entry = RAW_TABLES["raw_pos.transactions"]
+    scratch = _scratch(spark)
+    _deliver_years(spark, directory, scratch)
     stream = landing_stream(spark, f"{scratch}/landing", entry, files_per_batch=1)
     store = landing.RawStore(spark, f"{scratch}/raw")
     load_stream(stream, store, entry, f"{scratch}/progress").awaitTermination()
     return store.read(entry).select("transaction_id", "member_id", F.col("total").cast("double").alias("total"))
 
 
+def _first_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """The same files, the keys of four years remembered: older rows come by the second output, and every key once."""
+    configure(spark)
+    entry = RAW_TABLES["raw_pos.transactions"]
+    scratch = _scratch(spark)
+    _deliver_years(spark, directory, scratch)
+    stream = landing_stream(spark, f"{scratch}/landing", entry, files_per_batch=1)
+    first_rows_stream(stream, entry, f"{scratch}/out", f"{scratch}/progress", 4 * 365 * 86400, buckets=64).awaitTermination()
+    return first_rows(spark, entry, f"{scratch}/out").select("transaction_id", "member_id", F.col("total").cast("double").alias("total"))
+
+
 def _landing_scan(spark: SparkSession, directory: str) -> DataFrame:
     """Products delivered as JSON lines and read back as text with the registered columns."""
     entry = RAW_TABLES["raw_pos.products"]
@@ -621,6 +639,7 @@ def ingest_queries() -> dict[str, Query]:
         "i06_create_or_recreate": _create_or_recreate,
         "i07_event_stream": _event_stream,
         "i07_late_stream": _late_stream,
+        "i07_first_rows": _first_rows,
         "i08_materialised_mart": lambda spark, directory: comparable(stored(spark, directory)("mart_daily_revenue")),
         "i08_reloaded_month": _reloaded_month,
         "i09_csv_export": _export,
