@@ -22,7 +22,7 @@ LAID_OUT = {
     "stg_timeclock_events": "event_dt",
 }
 #: Models built side by side; their jobs share the cluster.
-AT_ONCE = 4
+AT_ONCE = 8
 
 
 class Warehouse:
