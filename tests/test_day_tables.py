@@ -135,7 +135,8 @@ def test_no_job_while_a_query_on_built_tables_is_made(spark):
     try:
         queries = suite.all_queries()
         for name in [*sorted(queries)[::17], "b07_headline_kpis", "d16_unpaired_clock_events", "k03_ytd_revenue", "m20_inventory_turnover", "i08_materialised_mart"]:
-            if name[0] != "i" or name.startswith("i08"):
+            # Staging models, loads and checks of raw tables read source files.
+            if name[0] in "bkxm" and name != "m42_time_spine" or name[:3] in ("d16", "i08"):
                 queries[name](spark, DATA)
                 assert list(tracker.getJobIdsForGroup("made")) == [], name
     finally:
