@@ -129,7 +129,8 @@ def weighted(rows):
         for x in s:
             df[x] = df.get(x, 0) + 1
     code = {x: min(255, round(4 * float(np.log2(n)))) for x, n in df.items()}
-    return [(d, {x: n * np.log1p(len(rows) / 2 ** (code[x] / 4)) for x, n in s.items()}) for d, s in found]
+    idf = {x: max(np.log1p(len(rows) / 2 ** (c / 4)), np.log1p(len(rows)) / 2) for x, c in code.items()}
+    return [(d, {x: n * idf[x] for x, n in s.items()}) for d, s in found]
 
 
 def similarity(a, b):
@@ -176,6 +177,36 @@ def test_near_copies_of_a_mass_copied_text(spark, documents, prose):
     assert found == {d: 0 if d < 2000 else d for d, _ in rows}
 
 
+def test_rows_that_share_an_id_link_their_texts(spark, documents, prose):
+    r = random.Random(27)
+    one, two, three = (prose(r, 150, 5000) for _ in range(3))
+    near = lambda words: " ".join([*words[:70], "changed", *words[71:]])
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (6, near(one)), (7, near(two)), (8, " ".join(three)), (9, near(three)), (9, " ".join(one))]
+    rows += [(20, ""), (20, "only this"), (21, "only this"), (30, " ".join(prose(r, 60, 5000)))]
+    found = {(x.doc_id, x.class_id, x.class_size) for x in near_dedup.classes(documents(rows)).collect()}
+    assert found == {*((i, 5, 7) for i in (5, 6, 7, 8, 9)), (20, 20, 3), (21, 20, 3), (30, 30, 1)}
+
+
+def test_texts_changed_in_places_of_their_own(spark, documents, prose, monkeypatch):
+    """Copies of one text that are 0.5 to 0.8 alike: the classes are right, and most pairs are ruled out unseen."""
+    r = random.Random(37)
+    base, rows = prose(r, 150, 5000), []
+    for i in range(500):
+        text = list(base)
+        for _ in range(2 + i % 7):
+            text[r.randrange(150)] = f"new{r.random()}"
+        rows.append((i, " ".join(text)))
+    vectors = weighted(rows)
+    alike = [(a, b, similarity(x, y)) for i, (a, x) in enumerate(vectors) for b, y in vectors[:i]]
+    label = smallest([(a, b) for a, b, s in alike if s >= 0.8])
+    counted, in_pairs = [], near_dedup._in_pairs
+    monkeypatch.setattr(near_dedup, "_in_pairs", lambda *x: counted.append(in_pairs(*x)) or counted[-1])
+    found = {x.doc_id: x.class_id for x in near_dedup.classes(documents(rows)).collect()}
+    assert found == {d: label.get(d, d) for d, _ in rows}
+    assert sum(0.5 <= s < 0.8 for _, _, s in alike) > 30_000
+    assert counted[0].count() < 2_000
+
+
 def test_sampling_follows_similarity():
     """Draws of two weighted sets agree with the probability of their weighted Jaccard similarity."""
     r = np.random.default_rng(3)

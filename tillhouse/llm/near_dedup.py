@@ -14,16 +14,20 @@ Texts with the same words in the same order are one text here, represented by th
 of which less than the threshold's share, by weight, lies in shingles that other documents hold too is similar to none
 and is not sampled. In a bucket every text is compared with one pivot, not with every other; texts that the pivot does not link and that are in
 another class so far are compared with a second pivot, and what is then still apart, pair by pair across classes, but for
-pairs that their distances to the pivot rule out. So no candidate pair that could join two classes is left out, while a
-bucket of n alike texts costs n comparisons.
+pairs that bounds rule out. Two texts share at most the lighter one's weight and, group by group, the lesser weight that each
+has in shingles of other documents: `SKETCH` such sums a text bound a pair's similarity from above. Pairs meet within bins of
+the lighter text's weight. So no candidate pair that could join two classes is left out, a bucket of n alike texts costs n
+comparisons, and of texts that are each changed in places of their own few pairs are left.
 
 A null text has no words. Texts without words are alike only to themselves and link to nothing: each row without words
-is a class of its own. Rows that share an id share a class. Rows with a null id get a null class and are kept. Columns
+is a class of its own. Rows that share an id share a class, and so do all texts that they are near copies of. Rows with a
+null id get a null class and are kept. Columns
 other than doc_id and text are not read. No rows give no rows.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -45,6 +49,10 @@ POOL_BITS = 16
 IDF_RATIO = 2.0
 #: Members of a pivot that are verified together.
 GROUP = 256
+#: Groups of shingles whose weights bound what two texts can share.
+SKETCH = 64
+#: Bins of weight within the ratio that two alike texts can have.
+BINS = 4
 #: Shingles sampled at once.
 SPAN = 200_000
 
@@ -112,12 +120,21 @@ def _counted_keys(keys: np.ndarray) -> np.ndarray:
     return keys & ~np.uint64(0xFF)
 
 
-_SIGNED = "doc_id long, s1 long, s2 long, bands array<long>, codes binary, words binary"
+_SIGNED = "doc_id long, s1 long, s2 long, bands array<long>, codes binary, words binary, total double, common array<double>"
 
 
 def _sign(n_docs: int, width: int, similarity: float, bands: int, rows: int):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary())]
+        [
+            ("doc_id", pa.int64()),
+            ("s1", pa.int64()),
+            ("s2", pa.int64()),
+            ("bands", pa.list_(pa.int64())),
+            ("codes", pa.binary()),
+            ("words", pa.binary()),
+            ("total", pa.float64()),
+            ("common", pa.list_(pa.float64())),
+        ]
     )
 
     def sign(block: pa.Table, told: pa.Table) -> pa.Table:
@@ -134,7 +151,7 @@ def _sign(n_docs: int, width: int, similarity: float, bands: int, rows: int):
         told_codes = key_counts.codes_in_order(told)
         sampler, combine = Sampler(bands * rows), constants(rows, 5)
         n = len(keys)
-        signed, codes, spelled = [None] * n, [None] * n, [None] * n
+        signed, codes, spelled, totals, common = ([None] * n for _ in range(5))
         now, weighed, held = [], [], 0
 
         def flush() -> None:
@@ -152,8 +169,11 @@ def _sign(n_docs: int, width: int, similarity: float, bands: int, rows: int):
             weights = counts[i] * idf(own, n_docs)
             # Two texts share only what two documents hold: with less than that share of its weight in such shingles, a
             # text is similar to no other.
-            if weights[own > 0].sum() < similarity * weights.sum() - 1e-9:
+            held_by_others = np.where(own > 0, weights, 0.0)
+            if held_by_others.sum() < similarity * weights.sum() - 1e-9:
                 continue
+            totals[i] = float(weights.sum())
+            common[i] = np.bincount((keys[i] % np.uint64(SKETCH)).astype(np.intp), weights=held_by_others, minlength=SKETCH)
             codes[i] = zlib.compress(own.tobytes(), 1)
             a, b = words.offsets[i], words.offsets[i + 1]
             spelled[i] = zlib.compress(words.data[a:b].tobytes(), 1)
@@ -171,6 +191,8 @@ def _sign(n_docs: int, width: int, similarity: float, bands: int, rows: int):
             pa.array(signed, pa.list_(pa.int64())),
             pa.array(codes, pa.binary()),
             pa.array(spelled, pa.binary()),
+            pa.array(totals, pa.float64()),
+            pa.array(common, pa.list_(pa.float64())),
         ]
         return pa.Table.from_arrays(columns, schema=schema)
 
@@ -225,40 +247,47 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
         .applyInArrow(_sign(n_docs, width, similarity, bands, rows), _SIGNED)
         .checkpoint()
     )
-    first = signed.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
+    # A text's node is its smallest id; of texts that have the same one, all but one take a hash of theirs.
+    first = signed.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
+    owners = first.groupBy("least").agg(F.min(F.struct("s1", "s2")).alias("owner"))
+    owns = (F.col("owner.s1") == F.col("s1")) & (F.col("owner.s2") == F.col("s2"))
+    first = first.join(owners, "least").select("s1", "s2", "least", F.when(owns, F.col("least")).otherwise(F.xxhash64("s1", "s2")).alias("rep"))
     # The empty text is like no other, itself included.
     empty = _sequence(np.zeros(0, np.uint64), 11)
     member_of = signed.select("doc_id", "s1", "s2").join(first, ["s1", "s2"])
     member_of = member_of.withColumn("rep", F.when(F.col("s1") == int(empty.view(np.int64)), F.col("doc_id")).otherwise(F.col("rep")))
-    member_of = member_of.select("doc_id", "rep").distinct()
-    reps = (
-        signed.filter("bands IS NOT NULL").join(first.withColumnRenamed("rep", "doc_id"), ["s1", "s2", "doc_id"]).dropDuplicates(["doc_id"])
-    )
-    entries = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key"))
+    member_of = member_of.select("doc_id", "rep").distinct().checkpoint()
+    # Rows that share an id link the texts they have.
+    several = member_of.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).filter("a != most")
+    same_id = member_of.join(several, "doc_id").filter("rep != a").select("a", F.col("rep").alias("b"))
+    reps = signed.filter("bands IS NOT NULL").join(first.withColumnRenamed("least", "doc_id"), ["s1", "s2", "doc_id"]).drop("doc_id")
+    entries = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = entries.groupBy("band", "key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
     # Texts that meet nobody are done; what follows is about the others.
     met = entries.join(shared, ["band", "key"]).checkpoint()
-    vectors = reps.select("doc_id", "words", "codes")
+    vectors = reps.select("rep", "words", "codes")
+    bounds = reps.select("rep", "total", "common")
     compare, slack = _compare(n_docs, width), 1 - similarity + 1e-9
     pairs = met.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     measured = _measured(pairs, vectors, compare).checkpoint()
     # Every text's distance to the pivots of its buckets.
     far = measured.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("far"))
     met = met.join(far, ["pivot", "rep"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))).checkpoint()
-    links = measured.filter(1 - F.col("similarity") <= slack).select("a", "b").checkpoint()
+    links = measured.filter(1 - F.col("similarity") <= slack).select("a", "b").union(same_id).checkpoint()
     for last in (False, True):
-        pairs = _apart(met, components(links), slack, last).join(measured.select("a", "b"), ["a", "b"], "left_anti")
+        known = _contested(met, components(links))
+        pairs = (_in_pairs(known, bounds, similarity) if last else _second(known, slack)).join(measured.select("a", "b"), ["a", "b"], "left_anti")
         more = _measured(pairs, vectors, compare).checkpoint()
         measured = measured.union(more)
         links = links.union(more.filter(1 - F.col("similarity") <= slack).select("a", "b"))
     labels = components(links)
-    # A row's text stands for itself, and rows that share an id link the texts they have.
+    # A row's text stands for itself; all texts of an id have one label.
     by_doc = member_of.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("label"))
-    one = by_doc.groupBy("doc_id").agg(F.min("label").alias("class_id"))
+    one = by_doc.groupBy("doc_id").agg(F.min("label").alias("label"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    found = ids.join(one, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    sizes = found.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return found.join(sizes, "class_id", "left").select(
+    found = ids.join(one, "doc_id", "left")
+    sizes = found.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    return found.join(sizes, "label", "left").select(
         "doc_id",
         "class_id",
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
@@ -266,34 +295,58 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
     )
 
 
-def _apart(met: DataFrame, labels: DataFrame, slack: float, every: bool) -> DataFrame:
-    """Pairs (a < b) that share a bucket but no class yet: those with a second pivot, or every one.
+def _contested(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """What lies in buckets that hold several classes so far, with its class and its pivot's."""
+    known = met.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    spread = known.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    pivots = labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+    mixed = known.join(spread, ["band", "key"]).join(pivots, "pivot", "left")
+    return mixed.withColumn("pivot_label", F.coalesce("pivot_label", "pivot"))
+
+
+def _second(known: DataFrame, slack: float) -> DataFrame:
+    """Pairs (a < b) of a second pivot, one that the first does not reach, with the texts of other classes.
 
     1 - weighted Jaccard similarity is a metric: texts whose distances to their pivot differ by more than the greatest
     distance of a link are not similar, and need no comparison.
     """
-    known = met.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    spread = known.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    mixed = known.join(spread, ["band", "key"])
-    if every:
-        left = mixed.select("band", "key", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("far").alias("fa"))
-        right = mixed.select("band", "key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("far").alias("fb"))
-        left, right = left.toDF(*left.columns), right.toDF(*right.columns)
-        same = (left["band"] == right["band"]) & (left["key"] == right["key"])
-        apart = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (F.abs(F.col("fa") - F.col("fb")) <= slack)
-        return left.join(right, same & apart).select("a", "b").distinct()
-    second = mixed.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
-    second = second.withColumn("pivot_label", F.coalesce("pivot_label", "pivot"))
-    lead = second.filter("label != pivot_label").groupBy("band", "key").agg(F.min(F.struct("rep", "label", "far")).alias("lead"))
-    pairs = mixed.join(lead, ["band", "key"]).filter((F.col("label") != F.col("lead.label")) & (F.abs(F.col("far") - F.col("lead.far")) <= slack))
+    lead = known.filter("label != pivot_label").groupBy("band", "key").agg(F.min(F.struct("rep", "label", "far")).alias("lead"))
+    pairs = known.join(lead, ["band", "key"]).filter((F.col("label") != F.col("lead.label")) & (F.abs(F.col("far") - F.col("lead.far")) <= slack))
     return pairs.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct()
 
 
+def _in_pairs(known: DataFrame, bounds: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a < b) that share a bucket but no class, and that no bound rules out.
+
+    Texts of weights v <= w are similar if they share `share` * (v + w) or more. They share at most what each holds in
+    shingles of other documents, so a text that can be the lighter one has 2 * share of its weight there, and a heavier
+    one meets it in the bins of weights that are left to it.
+    """
+    share, eps = similarity / (1 + similarity), 1e-6
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda held, y: held + y)
+    texts = known.select("band", "key", "rep", "label", "far").join(bounds, "rep").withColumn("held", total(F.col("common")))
+    bin_of = lambda weight: F.floor(F.log(weight) * (BINS / -math.log(similarity))).cast("int")
+    lighter = texts.filter(F.col("held") >= 2 * share * F.col("total") * (1 - eps)).withColumn("bin", bin_of(F.col("total")))
+    low, high = similarity * F.col("total") * (1 - eps), F.least(F.col("total"), F.col("held") / share - F.col("total")) * (1 + eps)
+    heavier = texts.filter(low <= high).withColumn("bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
+    names = ["rep", "label", "far", "total", "held", "common"]
+    left = lighter.select("band", "key", "bin", *(F.col(x).alias(f"{x}_a") for x in names))
+    right = heavier.select("band", "key", "bin", *(F.col(x).alias(f"{x}_b") for x in names))
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
+    same = (left["band"] == right["band"]) & (left["key"] == right["key"]) & (left["bin"] == right["bin"])
+    needed = share * (F.col("total_a") + F.col("total_b")) * (1 - eps)
+    by_weight = (F.col("total_a") < F.col("total_b")) | ((F.col("total_a") == F.col("total_b")) & (F.col("rep_a") < F.col("rep_b")))
+    near = (F.abs(F.col("far_a") - F.col("far_b")) <= 1 - similarity + eps) & (F.least("held_a", "held_b") >= needed)
+    shared = total(F.zip_with("common_a", "common_b", lambda x, y: F.least(x, y))) >= needed
+    pairs = left.join(right, same & by_weight & (F.col("label_a") != F.col("label_b")) & near & shared)
+    return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+
+
 def _measured(pairs: DataFrame, vectors: DataFrame, compare) -> DataFrame:
     """The pairs (a, b) with their similarity. The members of a are compared in groups, each with a's vector."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     dealt = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("groups"))).select("a", "part", "b")
-    members = dealt.join(vectors.withColumnRenamed("doc_id", "b"), "b")
-    pivots = dealt.select("a", "part").distinct().join(vectors.withColumnRenamed("doc_id", "a"), "a").select("a", "part", "words", "codes")
+    members = dealt.join(vectors.withColumnRenamed("rep", "b"), "b")
+    pivots = dealt.select("a", "part").distinct().join(vectors.withColumnRenamed("rep", "a"), "a").select("a", "part", "words", "codes")
     pivots = pivots.toDF("a", "part", "words", "codes")  # columns of its own, both sides being the same tables
     return members.groupBy("a", "part").cogroup(pivots.groupBy("a", "part")).applyInArrow(compare, "a long, b long, similarity double")
