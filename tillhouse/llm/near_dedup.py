@@ -252,6 +252,7 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
     owners = first.groupBy("least").agg(F.min(F.struct("s1", "s2")).alias("owner"))
     owns = (F.col("owner.s1") == F.col("s1")) & (F.col("owner.s2") == F.col("s2"))
     first = first.join(owners, "least").select("s1", "s2", "least", F.when(owns, F.col("least")).otherwise(F.xxhash64("s1", "s2")).alias("rep"))
+    first = first.checkpoint()
     # The empty text is like no other, itself included.
     empty = _sequence(np.zeros(0, np.uint64), 11)
     member_of = signed.select("doc_id", "s1", "s2").join(first, ["s1", "s2"])
@@ -269,15 +270,16 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
     bounds = reps.select("rep", "total", "common")
     compare, slack = _compare(n_docs, width), 1 - similarity + 1e-9
     pairs = met.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    measured = _measured(pairs, vectors, compare).checkpoint()
+    measured = _measured(pairs.checkpoint(), vectors, compare).checkpoint()
     # Every text's distance to the pivots of its buckets.
     far = measured.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("far"))
     met = met.join(far, ["pivot", "rep"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))).checkpoint()
     links = measured.filter(1 - F.col("similarity") <= slack).select("a", "b").union(same_id).checkpoint()
     for last in (False, True):
-        known = _contested(met, components(links))
+        # Lists of ids are written before they are used several times, which keeps the plans small.
+        known = _contested(met, components(links)).checkpoint()
         pairs = (_in_pairs(known, bounds, similarity) if last else _second(known, slack)).join(measured.select("a", "b"), ["a", "b"], "left_anti")
-        more = _measured(pairs, vectors, compare).checkpoint()
+        more = _measured(pairs.checkpoint(), vectors, compare).checkpoint()
         measured = measured.union(more)
         links = links.union(more.filter(1 - F.col("similarity") <= slack).select("a", "b"))
     labels = components(links)
