@@ -207,6 +207,26 @@ def test_texts_changed_in_places_of_their_own(spark, documents, prose, monkeypat
     assert counted[0].count() < 2_000
 
 
+def test_near_dedup_recall_on_the_given_documents(spark):
+    """Links of every document whose id is divisible by 50 with all others, and all links from 0.8 to 0.9."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    vectors = dict(weighted([(x.doc_id, x.text) for x in docs.collect()]))
+    holders = {}
+    for d, s in vectors.items():
+        for x in s:
+            holders.setdefault(x, []).append(d)
+    pairs = {(a, b) for ids in holders.values() for i, a in enumerate(ids) for b in ids[:i]}
+    alike = {(a, b): similarity(vectors[a], vectors[b]) for a, b in pairs}
+    found = {x.doc_id: x.class_id for x in near_dedup.classes(docs).collect()}
+    together = lambda links: sum(found[a] == found[b] for a, b in links) / max(1, len(links))
+    queries = [p for p, s in alike.items() if s >= 0.8 and (p[0] % 50 == 0 or p[1] % 50 == 0)]
+    close = [p for p, s in alike.items() if 0.8 <= s < 0.9]
+    assert together(queries) >= 0.98 and together(close) >= 0.98, (len(queries), together(queries), len(close), together(close))
+    # No class holds what no link joins.
+    label = smallest([p for p, s in alike.items() if s >= 0.8])
+    assert all(label.get(d, d) == label.get(k, k) for d, k in found.items())
+
+
 def test_sampling_follows_similarity():
     """Draws of two weighted sets agree with the probability of their weighted Jaccard similarity."""
     r = np.random.default_rng(3)
