@@ -43,7 +43,8 @@ from tillhouse.llm.words import SpanHashes, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 TEMPERATURE = 1.0
-KEPT_WORDS = 120_000
+#: Enough for the distinct words of one task's texts (about 350 thousand in 16 MB), so that lattices are rarely built twice.
+KEPT_WORDS = 400_000
 BATCH_BYTES = 500_000
 #: Log-probabilities are added in 2^-40.
 UNITS = 2.0**40
