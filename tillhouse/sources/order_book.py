@@ -90,15 +90,25 @@ class OrderBookSource:
     def _lines(self) -> DataFrame:
         """Order lines with an id. (order, line number) is not unique, so equal parts of one order are numbered.
 
-        The numbered groups stay tiny whatever an order holds, and queries that need no id skip the window.
+        Lines are dealt by order, whose lines are few by their meaning: the numbering and the joins with orders that follow
+        share that one exchange and its sort. Queries that need no id read `_amounts`.
         """
         alike = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
         order = Window.partitionBy(*alike).orderBy(
             "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"
         )
-        numbered = self._read("lineitem").withColumn("rn", F.row_number().over(order))
+        numbered = self._read("lineitem").repartition("l_orderkey").withColumn("rn", F.row_number().over(order))
+        return self._priced(numbered, F.concat_ws("-", *alike, "rn").alias("line_id"))
+
+    @cached_property
+    def _amounts(self) -> DataFrame:
+        """Order lines without an id, as they lie in the file."""
+        return self._priced(self._read("lineitem"))
+
+    @staticmethod
+    def _priced(lines: DataFrame, *more: Column) -> DataFrame:
         unit_price = money(F.col("l_extendedprice") / F.col("l_quantity"))
-        return numbered.select(
+        return lines.select(
             "l_orderkey",
             "l_partkey",
             "l_suppkey",
@@ -108,7 +118,7 @@ class OrderBookSource:
             unit_price.alias("unit_price"),
             money(unit_price.cast("double") * F.col("l_discount")).alias("discount"),
             money(F.col("l_extendedprice") * 0.6 / F.col("l_quantity")).alias("unit_cost"),
-            F.concat_ws("-", *alike, "rn").alias("line_id"),
+            *more,
         )
 
     @cached_property
@@ -323,7 +333,7 @@ class OrderBookSource:
     def pos_transactions(self) -> DataFrame:
         key = F.col("o_orderkey")
         line = ((F.col("unit_price") - F.col("discount")) * F.col("quantity")).cast(MONEY)
-        sums = self._lines.groupBy("l_orderkey").agg(F.sum(line).cast(MONEY).alias("subtotal"))
+        sums = self._amounts.groupBy("l_orderkey").agg(F.sum(line).cast(MONEY).alias("subtotal"))
         amounts = self._store_sales.join(sums, key == F.col("l_orderkey")).select(
             _id("T", key).alias("transaction_id"),
             "location_id",
@@ -612,17 +622,15 @@ class OrderBookSource:
             _plus_seconds(counted.cast("timestamp"), (k + n) % 20 * 3600).alias("last_updated"),
         )
 
-    @cached_property
-    def _dated_lines(self) -> DataFrame:
+    def _dated(self, lines: DataFrame) -> DataFrame:
         orders = self._read("orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
         site = (F.col("l_partkey") * 3 + F.col("ln") % 3 * 8) % 25
-        return self._lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("site", site)
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("site", site)
 
-    @cached_property
-    def _receipt_lines(self) -> DataFrame:
+    def _received(self, lines: DataFrame) -> DataFrame:
         day = F.date_format("day", "yyyyMMdd")
         return (
-            self._dated_lines.filter("l_returnflag = 'A'")
+            self._dated(lines).filter("l_returnflag = 'A'")
             .withColumn("receipt_id", F.concat(F.lit("R"), F.concat_ws("-", day, "site", "l_suppkey")))
             .withColumn("received_dt", _plus_seconds(F.col("day").cast("timestamp"), F.lit(32400)))
             .withColumn("line_total", (F.col("quantity") * F.col("unit_cost")).cast(MONEY))
@@ -631,7 +639,7 @@ class OrderBookSource:
     @cached_property
     def inv_receipts(self) -> DataFrame:
         return (
-            self._receipt_lines.groupBy("receipt_id", "site", "l_suppkey", "received_dt")
+            self._received(self._amounts).groupBy("receipt_id", "site", "l_suppkey", "received_dt")
             .agg(F.sum("line_total").cast(MONEY).alias("total_cost"), F.count("*").cast("int").alias("line_items"))
             .select(
                 "receipt_id",
@@ -646,7 +654,7 @@ class OrderBookSource:
 
     @cached_property
     def inv_receipt_items(self) -> DataFrame:
-        return self._receipt_lines.select(
+        return self._received(self._lines).select(
             _id("RI", "line_id").alias("receipt_item_id"),
             "receipt_id",
             _id("P", "l_partkey").alias("product_id"),
@@ -664,7 +672,7 @@ class OrderBookSource:
         store = F.when(F.col("site") % 5 == 0, F.col("site") + 1).otherwise(F.col("site"))
         lost = (F.col("quantity").cast("int") % 5 + 1).cast(MONEY)
         return (
-            self._dated_lines.filter("l_returnflag = 'R'")
+            self._dated(self._lines).filter("l_returnflag = 'R'")
             .select(
                 _id("SH", "line_id").alias("shrinkage_id"),
                 _id("P", "l_partkey").alias("product_id"),
