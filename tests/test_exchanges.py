@@ -59,3 +59,16 @@ def test_alike_lines_keep_their_numbers(order_book):
     assert sorted(r.receipt_item_id for r in order_book.inv_receipt_items.collect()) == ["RI4-1-7-3-1"] * 2 + ["RI4-1-7-3-2"] * 2 + ["RI8-1-7-3-1"]
     assert [r.shrinkage_id for r in order_book.inv_shrinkage_events.collect()] == ["SH4-1-7-3-3"] * 2
     assert order_book.ordering_store_order_items.count() == 5
+
+
+def test_members_meet_receipts_not_lines(spark, params, shuffled):
+    items = spark.createDataFrame([("i1", "T1", "P", Decimal(2), Decimal(3), Decimal(0), Decimal(6)), ("i2", "T1", "P", Decimal(1), Decimal(3), Decimal(0), Decimal(3)), ("i3", "T2", "P", Decimal(1), Decimal(3), Decimal(0), Decimal(3))], "item_id string, transaction_id string, product_id string, quantity decimal(18,4), unit_price decimal(18,4), discount decimal(18,4), line_total decimal(18,6)")
+    receipts = spark.createDataFrame([("T1", "L1", date(2001, 1, 1), "M1", Decimal(3), Decimal(0), True, True, False), ("T2", "L1", date(2001, 1, 1), None, Decimal(0), Decimal(0), False, False, False)], "transaction_id string, location_id string, transaction_date date, member_id string, coupon_savings decimal(18,4), deal_savings decimal(18,4), has_loyalty_member boolean, has_coupon boolean, has_deal boolean")
+    products = spark.createDataFrame([("P", "p", "c", "s", "D", Decimal(1))], "product_id string, product_name string, category string, subcategory string, department_id string, unit_cost decimal(18,4)")
+    places = spark.createDataFrame([("L1", "one", "city", "state", "store")], "location_id string, location_name string, city string, state string, location_type string")
+    # A member that is there twice doubles its lines, as a join of the lines does.
+    members = spark.createDataFrame([("M1", "gold", 5), ("M1", "silver", 5), (None, "none", 1)], "member_id string, tier string, points_balance int")
+    sales = int_pos_sales_enriched(params, items, receipts, products, places, members)
+    by_member = [below for key, below in shuffled(sales) if key.startswith("hashpartitioning(member_id")]
+    assert len(by_member) == 1 and "item_id" not in by_member[0], by_member
+    assert sorted((r.item_id, r.member_tier or "", float(r.allocated_promo_savings)) for r in sales.collect()) == [("i1", "gold", 2.0), ("i1", "silver", 2.0), ("i2", "gold", 1.0), ("i2", "silver", 1.0), ("i3", "", 0.0)]
