@@ -72,3 +72,21 @@ def test_members_meet_receipts_not_lines(spark, params, shuffled):
     by_member = [below for key, below in shuffled(sales) if key.startswith("hashpartitioning(member_id")]
     assert len(by_member) == 1 and "item_id" not in by_member[0], by_member
     assert sorted((r.item_id, r.member_tier or "", float(r.allocated_promo_savings)) for r in sales.collect()) == [("i1", "gold", 2.0), ("i1", "silver", 2.0), ("i2", "gold", 1.0), ("i2", "silver", 1.0), ("i3", "", 0.0)]
+
+
+def test_picks_meet_fulfilments_not_orders(spark, params, shuffled):
+    orders = spark.createDataFrame([("O1", "L1", "L2", datetime(2001, 1, 1), date(2001, 1, 1), date(2001, 1, 5), "approved", None, None), ("O2", "L1", "L2", datetime(2001, 1, 1), date(2001, 1, 1), date(2001, 1, 5), "approved", None, None)], "order_id string, store_location_id string, warehouse_location_id string, order_dt timestamp, order_date date, requested_delivery_dt date, status string, approved_dt timestamp, approved_by string")
+    items = spark.createDataFrame([("O1", 4, 4)], "order_id string, quantity_requested int, quantity_approved int")
+    done = spark.createDataFrame([("O1", "F1b", "completed", None, None, "p"), ("O1", "F1a", "completed", None, None, "q")], "store_order_id string, fulfillment_id string, status string, hours_to_fulfill decimal(18,8), completed_at timestamp, assigned_to_name string")
+    loads = spark.createDataFrame([("LD1", "delivered", None, datetime(2001, 1, 4), None, "d", date(2001, 1, 4)), ("LD2", "scheduled", None, None, None, "d", None)], "load_id string, status string, departed_at timestamp, arrived_at timestamp, hours_in_transit decimal(18,8), driver string, load_date date")
+    # The same load twice, and one that nobody knows.
+    carried = spark.createDataFrame([("O1", "LD2"), ("O1", "LD1"), ("O1", "LD1"), ("O1", "LD0")], "store_order_id string, load_id string")
+    places = spark.createDataFrame([("L1", "one", "city", "state"), ("L2", "two", "city", "state")], "location_id string, location_name string, city string, state string")
+    picks = spark.createDataFrame([("F1a", "picked", 4, 4), ("F1a", "short", 2, 1), ("F1b", "picked", 9, 9)], "fulfillment_id string, pick_status string, quantity_requested int, quantity_picked int")
+    enriched = int_fulfillment_enriched(params, orders, items, done, loads, carried, places, picks)
+    found = shuffled(enriched)
+    by_pick = [below for key, below in found if key.startswith("hashpartitioning(fulfillment_id")]
+    assert by_pick and not any("order_dt" in below for below in by_pick), by_pick
+    assert not any("_load)" in key or ", _load" in key for key, _ in found), found
+    rows = {r.order_id: (r.fulfillment_id, r.pick_qty_requested, r.pick_qty_picked, r.total_shorted_qty, r.load_id, r.store_name, r.warehouse_name, r.on_time) for r in enriched.collect()}
+    assert rows == {"O1": ("F1a", 6, 5, 2, "LD1", "one", "two", True), "O2": (None, None, None, None, None, "one", "two", False)}
