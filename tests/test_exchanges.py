@@ -90,3 +90,32 @@ def test_picks_meet_fulfilments_not_orders(spark, params, shuffled):
     assert not any("_load)" in key or ", _load" in key for key, _ in found), found
     rows = {r.order_id: (r.fulfillment_id, r.pick_qty_requested, r.pick_qty_picked, r.total_shorted_qty, r.load_id, r.store_name, r.warehouse_name, r.on_time) for r in enriched.collect()}
     assert rows == {"O1": ("F1a", 6, 5, 2, "LD1", "one", "two", True), "O2": (None, None, None, None, None, "one", "two", False)}
+
+
+def test_a_products_weeks_and_offers_are_dealt_once(spark, params, shuffled, tmp_path):
+    week = (date(2001, 1, 1), date(2001, 1, 7))
+    # The ad is there twice; an offer names no ad, one no product, one a product that nobody bought, one has no id.
+    ads = spark.createDataFrame([("A1", "one", *week), ("A1", "one", *week), ("A2", "two", date(2001, 1, 3), date(2001, 1, 9))], "ad_id string, ad_name string, start_date date, end_date date")
+    offers = spark.createDataFrame([("A1", "P", "i1", Decimal(5), Decimal(1)), ("A1", "P", "i1", Decimal(5), Decimal(1)), ("A1", "Q", None, Decimal(7), Decimal(2)), (None, "P", "i2", Decimal(1), Decimal(1)), ("A1", None, "i3", Decimal(1), Decimal(1)), ("A2", "Z", "i4", Decimal(1), Decimal(1))], "ad_id string, product_id string, ad_item_id string, discount_pct decimal(18,2), promoted_price decimal(18,4)")
+    items = spark.createDataFrame([("T1", "P", Decimal(2), Decimal(3), Decimal(6)), ("T2", "P", Decimal(1), Decimal(3), Decimal(3)), ("T2", "Q", Decimal(1), None, Decimal(3)), ("T2", None, Decimal(4), Decimal(1), Decimal(4))], "transaction_id string, product_id string, quantity decimal(18,4), unit_price decimal(18,4), line_total decimal(18,6)")
+    receipts = spark.createDataFrame([("T1", date(2001, 1, 1)), ("T2", date(2001, 1, 4))], "transaction_id string, transaction_date date")
+    products = spark.createDataFrame([("P", "p", "c")], "product_id string, product_name string, category string")
+    weekly = mart_promotion_effectiveness(params, ads, offers, items, receipts, products)
+    found = {(r.ad_name, r.product_id, r.is_ad_item, r.discount_pct): (r.days_active, float(r.total_units_sold), float(r.promo_lift_vs_baseline_pct)) for r in weekly.collect()}
+    assert found == {
+        ("one", "P", True, Decimal(5)): (2, 12.0, 1100.0),
+        ("one", "Q", False, Decimal(7)): (1, 2.0, 33.33),
+        ("one", None, False, None): (1, 8.0, 33.33),
+        ("two", "P", False, None): (1, 1.0, 0.0),
+        ("two", "Q", False, None): (1, 1.0, -33.33),
+        ("two", None, False, None): (1, 4.0, -33.33),
+    }
+    # Tables with files, whose sizes are known: the few ads are broadcast, nothing else is.
+    stored = []
+    for i, table in enumerate((ads, offers, items, receipts, products)):
+        table.write.parquet(f"{tmp_path}/{i}")
+        stored.append(spark.read.parquet(f"{tmp_path}/{i}"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    plan = mart_promotion_effectiveness(params, stored[0], *(t.hint("merge") for t in stored[1:]))
+    keys = [key for key, below in shuffled(plan) if "product_id" in key]
+    assert keys.count("hashpartitioning(product_id, 4") == 1 and len(keys) == 2, keys
