@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.intermediate import int_fulfillment_enriched, int_pos_sales_enriched
 from tillhouse.operators.promotion import mart_promotion_effectiveness
+from tillhouse.plans.quality import ForeignKey, check_keys
 from tillhouse.sources.order_book import OrderBookSource
 
 
@@ -119,3 +120,19 @@ def test_a_products_weeks_and_offers_are_dealt_once(spark, params, shuffled, tmp
     plan = mart_promotion_effectiveness(params, stored[0], *(t.hint("merge") for t in stored[1:]))
     keys = [key for key, below in shuffled(plan) if "product_id" in key]
     assert keys.count("hashpartitioning(product_id, 4") == 1 and len(keys) == 2, keys
+
+
+def test_a_value_takes_few_counters_however_many_refer_to_it(spark, frame):
+    """Eight columns refer to one: each finds its orphans, and a value is shuffled with four counters, not nine."""
+    columns = [f"c{i}" for i in range(8)]
+    rows = [tuple(None if (r + i) % 5 == 0 else f"v{(r * (i + 1)) % 6}" for i in range(8)) for r in range(30)]
+    tables = {"parent": frame("k string", ("v0",), ("v1",), ("v1",), (None,), ("v4",)), "child": frame(", ".join(f"{c} string" for c in columns), *rows)}
+    keys = [ForeignKey("child", c, "parent", "k") for c in columns]
+    findings = check_keys(tables.__getitem__, [("parent", "k")], keys)
+    row = findings.found.select(findings.of_unique("parent", "k").alias("twice"), *[findings.of_key(k, nulls).alias(f"{k.column}{nulls}") for k in keys for nulls in (False, True)]).first()
+    assert row.twice == 1
+    for i, c in enumerate(columns):
+        orphans = sum(r[i] is not None and r[i] not in ("v0", "v1", "v4") for r in rows)
+        assert (row[f"{c}False"], row[f"{c}True"]) == (orphans, orphans + sum(r[i] is None for r in rows))
+    plan = findings.found._jdf.queryExecution().executedPlan().toString()
+    assert max(line.count("partial_count(") for line in plan.splitlines()) <= 4, plan

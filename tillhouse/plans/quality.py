@@ -284,11 +284,15 @@ class ForeignKey:
     key: str
 
 
+#: How many foreign keys of one parent are counted beside its values at a time: as many counters, and one, per value.
+COUNTED_AT_ONCE = 3
+
+
 @dataclass(frozen=True)
 class KeyFindings:
     """Of each unique column, how many of its values occur more than once; of each foreign key, how many child rows have
     a key that no parent has, and how many have none. All in one row of `found`, a map from the column whose values are
-    checked to (repeated, orphans by child, missing by child)."""
+    checked, and which of its children are, to (repeated, orphans by child, missing by child)."""
 
     found: DataFrame
     domains: dict[tuple[str, str], list[ForeignKey]]
@@ -297,13 +301,13 @@ class KeyFindings:
         return F.coalesce(self._domain(table, column)["repeated"], F.lit(0))
 
     def of_key(self, key: ForeignKey, count_null: bool = False) -> Column:
-        domain = self._domain(key.parent, key.key)
-        place = self.domains[key.parent, key.key].index(key)
+        turn, place = divmod(self.domains[key.parent, key.key].index(key), COUNTED_AT_ONCE)
+        domain = self._domain(key.parent, key.key, turn)
         orphans, missing = (F.coalesce(F.get(domain[side], F.lit(place)), F.lit(0)) for side in ("orphans", "missing"))
         return (orphans + missing if count_null else orphans).cast("bigint")
 
-    def _domain(self, table: str, column: str) -> Column:
-        return F.col("found")[f"{table}.{column}"]
+    def _domain(self, table: str, column: str, turn: int = 0) -> Column:
+        return F.col("found")[f"{table}.{column} {turn}"]
 
 
 def check_keys(table: Table, unique: Iterable[tuple[str, str]], keys: Iterable[ForeignKey]) -> KeyFindings:
@@ -311,21 +315,26 @@ def check_keys(table: Table, unique: Iterable[tuple[str, str]], keys: Iterable[F
 
     The values of a unique or parent column and of all columns that refer to it are one domain. Every table gives its key
     values once, each with its domain and its part in it (0: the column itself, then the children); values are counted
-    by part, in the tasks first, so a key with very many rows costs no more than any other.
+    by part, in the tasks first, so a key with very many rows costs no more than any other. A column that many refer to
+    makes several domains, of a few children each, so that no value takes more than a few counters.
     """
     domains: dict[tuple[str, str], list[ForeignKey]] = {name: [] for name in unique}
     for key in keys:
         children = domains.setdefault((key.parent, key.key), [])
         if key not in children:
             children.append(key)
-    numbers = {name: i for i, name in enumerate(domains)}
+    counted_together = [
+        (name, turn, children[start : start + COUNTED_AT_ONCE])
+        for name, children in domains.items()
+        for turn, start in enumerate(range(0, max(1, len(children)), COUNTED_AT_ONCE))
+    ]
     values: dict[str, list[Column]] = {}
-    for (name, column), children in domains.items():
+    for number, ((name, column), _, children) in enumerate(counted_together):
         for part, (source, value) in enumerate([(name, column), *[(c.child, c.column) for c in children]]):
-            entry = F.struct(F.lit(numbers[name, column]).alias("domain"), F.lit(part).alias("part"), F.col(value).cast("string").alias("value"))
+            entry = F.struct(F.lit(number).alias("domain"), F.lit(part).alias("part"), F.col(value).cast("string").alias("value"))
             values.setdefault(source, []).append(entry)
     stacked = reduce(DataFrame.unionByName, [table(name).select(F.explode(F.array(*entries)).alias("k")).select("k.*") for name, entries in values.items()])
-    parts = range(1 + max(map(len, domains.values())))
+    parts = range(1 + max(len(children) for _, _, children in counted_together))
     counted = stacked.groupBy("domain", "value").agg(*[F.count_if(F.col("part") == i).alias(f"n{i}") for i in parts])
     known = F.col("value").isNotNull()
     alone = known & (F.col("n0") == 0)
@@ -334,7 +343,7 @@ def check_keys(table: Table, unique: Iterable[tuple[str, str]], keys: Iterable[F
         F.array(*[F.coalesce(F.sum(F.when(alone, F.col(f"n{i}"))), F.lit(0)) for i in parts[1:]]).alias("orphans"),
         F.array(*[F.coalesce(F.sum(F.when(~known, F.col(f"n{i}"))), F.lit(0)) for i in parts[1:]]).alias("missing"),
     )
-    names = F.array(*[F.lit(f"{name}.{column}") for name, column in numbers])
+    names = F.array(*[F.lit(f"{name}.{column} {turn}") for (name, column), turn, _ in counted_together])
     # One row per domain, so a map of as many entries.
     entry = F.struct(F.get(names, F.col("domain")).alias("name"), F.struct("repeated", "orphans", "missing").alias("of"))
     found = per_domain.agg(F.map_from_entries(F.collect_list(entry)).alias("found"))
