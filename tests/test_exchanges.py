@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.intermediate import int_fulfillment_enriched, int_pos_sales_enriched
 from tillhouse.operators.promotion import mart_promotion_effectiveness
+from tillhouse.plans.day_tables import reload_periods, write_laid_out
 from tillhouse.plans.quality import ForeignKey, check_keys
 from tillhouse.sources.order_book import OrderBookSource
 
@@ -136,3 +137,13 @@ def test_a_value_takes_few_counters_however_many_refer_to_it(spark, frame):
         assert (row[f"{c}False"], row[f"{c}True"]) == (orphans, orphans + sum(r[i] is None for r in rows))
     plan = findings.found._jdf.queryExecution().executedPlan().toString()
     assert max(line.count("partial_count(") for line in plan.splitlines()) <= 4, plan
+
+
+def test_tables_are_written_in_little_space(spark, warehouse, tmp_path):
+    house = warehouse({"raw_pos.departments": [{"department_id": "D", "name": "Deli"}]})
+    house.materialise(spark, str(tmp_path), ["stg_pos_departments"])
+    sold = spark.createDataFrame([("a", datetime(2001, 1, 1))], "k string, at timestamp")
+    write_laid_out(sold, f"{tmp_path}/laid_out", "at", "month")
+    reload_periods(sold.withColumn("at", F.lit(datetime(2001, 2, 1))), f"{tmp_path}/laid_out", "at", date(2001, 2, 1), date(2001, 2, 28), "month")
+    files = [f.name for f in tmp_path.rglob("*.parquet") if f.is_file()]
+    assert len(files) >= 3 and all(".zstd." in name for name in files), files
